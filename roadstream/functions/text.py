@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadstream.schemas import COUNT_MAP, SEPARATOR, TIME_FORMAT
+from roadstream.schemas import COUNT_MAP, SEPARATOR, TIME_FORMAT, TIME_PATTERN
 
 ENVELOPE_FIELDS = ("key", "partition", "offset", "timestamp")
 DETECTION_FIELDS = ("plate", "gate", "lane", "ts", "nation")
 
 
 def epoch_seconds(text: Column) -> Column:
-    """Seconds since 1970 of a timestamp text; NULL where the text does not parse."""
-    return F.unix_timestamp(F.try_to_timestamp(text, F.lit(TIME_FORMAT)))
+    """Seconds since 1970 of a timestamp text; NULL where the text does not parse.
+
+    The pattern holds the text to the one format, and the cast then parses it in about half
+    the time that parsing by format takes.
+    """
+    return F.when(text.rlike(TIME_PATTERN), text.try_cast("timestamp")).cast("bigint")
 
 
 def time_text(seconds: Column) -> Column:
@@ -30,10 +34,11 @@ def decode_detections(messages: DataFrame, with_location: bool = False) -> DataF
 
     Columns past the last known one are ignored. Envelope columns present in the input are
     kept. Works on a batch or a stream.
+
+    The line is split in a generator of one row, because the optimizer moves later filters
+    and join conditions below a projection, where they would split each line again.
     """
-    kept = [F.col(c) for c in ENVELOPE_FIELDS if c in messages.columns]
-    if "key" in messages.columns:
-        kept[0] = F.col("key").cast("string").alias("key")
+    kept = [c for c in ENVELOPE_FIELDS if c in messages.columns]
     fields = F.col("fields")
     columns = [
         F.get(fields, F.lit(0)).alias("plate"),
@@ -44,9 +49,13 @@ def decode_detections(messages: DataFrame, with_location: bool = False) -> DataF
     ]
     if with_location:
         columns.append(F.get(fields, F.lit(5)).try_cast("double").alias("loc"))
-    return messages.withColumn(
-        "fields", F.split(F.col("value").cast("string"), SEPARATOR)
-    ).select(*kept, *columns)
+    line = F.split(F.col("value").cast("string"), SEPARATOR)
+    decoded = messages.select(*kept, F.explode(F.array(line)).alias("fields")).select(
+        *kept, *columns
+    )
+    if "key" in kept:
+        decoded = decoded.withColumn("key", F.col("key").cast("string"))
+    return decoded
 
 
 def _printed(columns: tuple[str, ...]) -> list[Column]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 SEPARATOR = ","
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TIME_PATTERN = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\z"
 UNKNOWN_NATION = "?"
 
 # One broker message.
