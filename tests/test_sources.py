@@ -1,0 +1,105 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from roadstream.schemas import GATE_POSITIONS
+from roadstream.sources import gates as gate_sources
+from roadstream.sources.events import event_detections
+from roadstream.sources.messages import (
+    as_messages,
+    gates_as_messages,
+    read_back_counts,
+    read_detection_lines,
+    read_messages,
+)
+from roadstream.operators.enrich import with_location
+from roadstream.streaming.sinks import count_messages, to_topic
+
+
+def test_gate_file_has_no_header_and_no_final_newline(spark, tmp_path):
+    path = tmp_path / "gates.csv"
+    path.write_text("\n".join(f"{g},{p}" for g, p in GATE_POSITIONS))
+    gates = gate_sources.read_gates(spark, str(path))
+    assert gates.columns == ["gate", "position"]
+    assert sorted(map(tuple, gates.collect())) == sorted(GATE_POSITIONS)
+    gate_sources.register_gates(gates, "gates_from_file")
+    named = gate_sources.scan_gates(spark, "gates_from_file")
+    assert named.exceptAll(gate_sources.builtin_gates(spark)).isEmpty()
+
+
+def test_only_small_gate_tables_are_broadcast(spark, detections):
+    gates = gate_sources.builtin_gates(spark)
+    rows = detections([("A", 1, 0, "it")])
+
+    def hints(side):
+        joined = rows.join(gate_sources.broadcast_if_small(side, max_rows=21), "gate")
+        return joined._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "strategy=broadcast" in hints(gates)
+    assert "strategy=broadcast" not in hints(gates.union(gates.limit(1)))
+
+
+def test_a_table_of_own_gates(spark, detections):
+    own = spark.createDataFrame([(77, 1.5)], "gate int, loc double")
+    rows = detections([("A", 77, 0, "it"), ("A", 1, 0, "it"), ("A", None, 0, "it")])
+    assert [r["loc"] for r in with_location(rows, own).collect()] == [1.5]
+    left = with_location(rows, own, "left").orderBy("offset").collect()
+    assert [r["loc"] for r in left] == [1.5, None, None]
+    with pytest.raises(ValueError):
+        with_location(rows, own, "full")
+
+
+def test_header_is_skipped_in_every_file(spark, tmp_path):
+    header = "plate,gate,lane,ts,nation\n"
+    (tmp_path / "a.csv").write_text(header + ' AB ,1,1,"x,,it\nCD,,1,2016-01-01 00:00:00,\n')
+    (tmp_path / "b.csv").write_text(header + "EF,3,1.0,2016-01-01 00:00:00,?")
+    lines = read_detection_lines(spark, str(tmp_path))
+    expected = {' AB ,1,1,"x,,it', "CD,,1,2016-01-01 00:00:00,", "EF,3,1.0,2016-01-01 00:00:00,?"}
+    assert {r["value"] for r in lines.collect()} == expected
+    messages = as_messages(lines).select(F.col("key").cast("string")).collect()
+    assert {r[0] for r in messages} == {"AB", "CD", "EF"}
+    assert read_detection_lines(spark, str(tmp_path), streaming=True).isStreaming
+
+
+def test_gates_as_messages(spark):
+    rows = gates_as_messages(gate_sources.builtin_gates(spark)).selectExpr(
+        "CAST(key AS STRING)", "CAST(value AS STRING)"
+    )
+    assert ("22", "22,135.3") in {tuple(r) for r in rows.collect()}
+
+
+def test_stored_topics(spark, tmp_path):
+    path = str(tmp_path / "topics")
+    lines = spark.createDataFrame([("AB,1,1,x,it",), ("CD,2,1,x,fr",)], "value string")
+    to_topic(as_messages(lines), "origin", format="parquet", path=path)
+    to_topic(
+        gates_as_messages(gate_sources.builtin_gates(spark)),
+        "locations",
+        format="parquet",
+        path=path,
+    )
+    stored = read_messages(spark, "origin", streaming=False, format="parquet", path=path)
+    assert {bytes(r["key"]).decode() for r in stored.collect()} == {"AB", "CD"}
+    assert stored.columns == ["key", "value", "topic", "partition", "offset", "timestamp"]
+    stream = read_messages(spark, "locations", format="parquet", path=path)
+    assert stream.isStreaming
+
+
+def test_broker_needs_its_connector(spark):
+    with pytest.raises(Exception, match="(?i)kafka"):
+        read_messages(spark, "origin", streaming=False)
+
+
+def test_results_are_read_back(spark):
+    maps = spark.sql("SELECT map('it', 3L, 'fr', 1L) AS counts")
+    messages = count_messages(maps, F.lit("key"))
+    rows = read_back_counts(messages).collect()
+    assert sorted(map(tuple, rows)) == [("key", "fr", 1), ("key", "it", 3)]
+
+
+def test_every_event_becomes_a_detection(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    decoded = event_detections(spark, sf_dir)
+    assert decoded.count() == spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    assert decoded.filter("gate IS NULL OR lane IS NULL OR ts IS NULL").isEmpty()
