@@ -13,7 +13,7 @@ from roadstream.operators.tracks import VEHICLE, located
 from roadstream.session import work_folder
 from roadstream.sources.events import event_detections
 from roadstream.streaming.fines import added_fines, pin_hot_keys, total_fines
-from roadstream.streaming.sinks import ALL_AVAILABLE, read_changes, to_changes, to_table
+from roadstream.streaming.sinks import ALL_AVAILABLE, read_changes, read_table, to_changes, to_table
 
 
 def run_updates(
@@ -24,9 +24,7 @@ def run_updates(
     folder = folder or work_folder(spark, "updates")
     query = to_changes(result, f"{folder}/changes", f"{folder}/checkpoint", ALL_AVAILABLE)
     query.awaitTermination()
-    if query.lastProgress is None:
-        return spark.createDataFrame([], result.schema)
-    return read_changes(spark, f"{folder}/changes", keys, values)
+    return read_changes(spark, f"{folder}/changes", result.schema, keys, values)
 
 
 def run_complete(result: DataFrame, folder: str | None = None) -> DataFrame:
@@ -35,9 +33,7 @@ def run_complete(result: DataFrame, folder: str | None = None) -> DataFrame:
     folder = folder or work_folder(spark, "complete")
     query = to_table(result, f"{folder}/result", f"{folder}/checkpoint", ALL_AVAILABLE)
     query.awaitTermination()
-    if query.lastProgress is None:
-        return spark.createDataFrame([], result.schema)
-    return spark.read.schema(result.schema).parquet(f"{folder}/result")
+    return read_table(spark, f"{folder}/result", result.schema)
 
 
 def nation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

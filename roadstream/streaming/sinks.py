@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from roadstream.functions.text import encode_counts
 from roadstream.operators.latest import latest_per_key
@@ -112,10 +114,12 @@ def to_changes(
 
 
 def read_changes(
-    spark: SparkSession, folder: str, keys: list[str], values: list[str]
+    spark: SparkSession, folder: str, schema: StructType, keys: list[str], values: list[str]
 ) -> DataFrame:
-    """The current row of each group from a folder of changes."""
-    return latest_per_key(spark.read.parquet(folder), keys, values, version="batch")
+    """The current row of each group from a folder of changes to results of that schema."""
+    with_batch = StructType([*schema.fields, StructField("batch", LongType())])
+    changes = read_table(spark, folder, with_batch)
+    return latest_per_key(changes, keys, values, version="batch")
 
 
 def to_table(
@@ -132,6 +136,16 @@ def to_table(
     return _writer(result, "complete", checkpoint, trigger).foreachBatch(store).start()
 
 
+def read_table(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
+    """A folder of results; empty where its stream has not had a batch yet."""
+    try:
+        return spark.read.schema(schema).parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_state(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
     """The state of one operator of a stream, by key, from its checkpoint."""
     return spark.read.format("statestore").option("operatorId", operator).load(checkpoint)
