@@ -3,27 +3,28 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from roadstream.functions.text import decode_detections
 from roadstream.schemas import SEPARATOR, TIME_FORMAT, UNKNOWN_NATION
 
 
+PLATE = "concat('P', user_id)"
+LINE = f"""concat_ws('{SEPARATOR}',
+    {PLATE},
+    event_id % 30,
+    CAST(event_id % 3 + 1 AS DOUBLE),
+    date_format(ts, '{TIME_FORMAT}'),
+    CASE WHEN event_type = 'error' THEN '{UNKNOWN_NATION}' ELSE event_type END)"""
+
+
 def _as_envelope(events: DataFrame) -> DataFrame:
-    plate = F.concat(F.lit("P"), F.col("user_id").cast("string"))
-    gate = (F.col("event_id") % 30).cast("string")
-    lane = (F.col("event_id") % 3 + 1).cast("double").cast("string")
-    nation = F.when(F.col("event_type") == "error", UNKNOWN_NATION).otherwise(
-        F.col("event_type")
-    )
-    line = F.concat_ws(SEPARATOR, plate, gate, lane, F.date_format("ts", TIME_FORMAT), nation)
-    return events.select(
-        plate.cast("binary").alias("key"),
-        line.cast("binary").alias("value"),
-        F.lit("origin").alias("topic"),
-        F.lit(0).alias("partition"),
-        F.col("event_id").alias("offset"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
+    return events.selectExpr(
+        f"CAST({PLATE} AS BINARY) AS key",
+        f"CAST({LINE} AS BINARY) AS value",
+        "'origin' AS topic",
+        "0 AS partition",
+        "event_id AS offset",
+        "CAST(ts AS TIMESTAMP) AS timestamp",
     )
 
 
