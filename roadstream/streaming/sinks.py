@@ -146,6 +146,14 @@ def read_table(spark: SparkSession, folder: str, schema: StructType) -> DataFram
         return spark.createDataFrame([], schema)
 
 
-def read_state(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
-    """The state of one operator of a stream, by key, from its checkpoint."""
-    return spark.read.format("statestore").option("operatorId", operator).load(checkpoint)
+def read_state(
+    spark: SparkSession, checkpoint: str, operator: int = 0, variable: str | None = None
+) -> DataFrame:
+    """The state of one operator of a stream, by key, from its checkpoint.
+
+    The fines keep several state variables, of which one has to be named.
+    """
+    reader = spark.read.format("statestore").option("operatorId", operator)
+    if variable is not None:
+        reader = reader.option("stateVarName", variable)
+    return reader.load(checkpoint)

@@ -142,14 +142,14 @@ def test_hot_cells_give_the_same_fines(topic, tmp_path):
     found = hot_keys(topic.detections(False), VEHICLE, Split(hot_rows=60, sample_every=1))
     hot = pin_hot_keys(found, str(tmp_path / "hot"))
     assert [r["plate"] for r in hot.collect()] == ["HOT"]
-    stream = added(topic, hot=hot, split=Split(cell_offsets=3))
+    stream = added(topic, hot=hot, split=Split(part_offsets=3))
     result = run_updates(total_fines(stream), ["nation"], ["tot_fines"])
     assert totals(result) == fines_by_hand(rows)
 
 
 def test_pinned_hot_keys_do_not_change(spark, tmp_path):
     folder = str(tmp_path / "hot")
-    schema = "plate string, nation string, hot_hours array<bigint>"
+    schema = "plate string, nation string, crowded_slots array<bigint>"
     first = spark.createDataFrame([("A", "it", [1])], schema)
     other = spark.createDataFrame([("B", "it", [1])], schema)
     assert pin_hot_keys(first, folder).first()["plate"] == "A"
@@ -221,7 +221,7 @@ def test_watermark_drops_late_messages(spark, topic, split_hot):
     for row in [("A", 21, 100_000), ("A", 21, 200_000), ("B", 21, 200_001), ("A", 4, 100_600)]:
         topic.add([(*row, "it")])
     hot = spark.createDataFrame(
-        [("A", "it", [])], "plate string, nation string, hot_hours array<bigint>"
+        [("A", "it", [])], "plate string, nation string, crowded_slots array<bigint>"
     )
     options = {"hot": hot} if split_hot else {}
     late = added(topic, watermark="10 minutes", **options)
@@ -234,17 +234,12 @@ def test_hot_cells_expire_behind_the_watermark(spark, topic, tmp_path):
     for row in [("A", 21, 100_000), ("A", 4, 100_600), ("A", 4, 200_000), ("A", 4, 200_001)]:
         topic.add([(*row, "it")])
     hot = spark.createDataFrame(
-        [("A", "it", [])], "plate string, nation string, hot_hours array<bigint>"
+        [("A", "it", [])], "plate string, nation string, crowded_slots array<bigint>"
     )
     stream = added(topic, hot=hot, watermark="10 minutes", retention_s=3171)
     folder = str(tmp_path / "job")
     assert totals(run_complete(total_fines(stream), folder)) == {"it": 1}
-    cells = (
-        spark.read.format("statestore")
-        .option("operatorId", 2)
-        .option("stateVarName", "spans")
-        .load(f"{folder}/checkpoint")
-    )
+    cells = read_state(spark, f"{folder}/checkpoint", 2, "spans")
     assert {r["key"]["cell"] for r in cells.collect()} == {"200000/0", "200001/0"}
 
 
