@@ -17,7 +17,7 @@ from roadstream.operators.enrich import with_location
 from roadstream.operators.latest import latest_per_key
 from roadstream.schemas import SEPARATOR
 from roadstream.sources.events import event_detections, event_messages
-from roadstream.sources.gates import broadcast_if_small, builtin_gates, register_gates, scan_gates
+from roadstream.sources.gates import builtin_gates, register_gates, scan_gates
 from roadstream.sources.messages import as_messages, read_back_counts
 
 
@@ -29,9 +29,8 @@ def decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gate_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The named gate table with the detections seen at each gate."""
     register_gates(builtin_gates(spark).withColumnRenamed("loc", "position"))
-    gates = scan_gates(spark)
     seen = event_detections(spark, sf_dir).groupBy("gate").agg(F.count("*").alias("cnt"))
-    return broadcast_if_small(gates).join(seen, "gate", "left").select(
+    return scan_gates(spark).join(seen, "gate", "left").select(
         "gate",
         "loc",
         display_gate("gate", "loc").alias("text"),

@@ -1,8 +1,13 @@
 from __future__ import annotations
 
+from unittest.mock import MagicMock
+
 import pytest
 from pyspark.sql import functions as F
 
+from roadstream.operators import counts
+from roadstream.operators.enrich import with_location
+from roadstream.plans.stream import run_updates
 from roadstream.schemas import GATE_POSITIONS
 from roadstream.sources import gates as gate_sources
 from roadstream.sources.events import event_detections
@@ -13,7 +18,6 @@ from roadstream.sources.messages import (
     read_detection_lines,
     read_messages,
 )
-from roadstream.operators.enrich import with_location
 from roadstream.streaming.sinks import count_messages, to_topic
 
 
@@ -103,3 +107,39 @@ def test_every_event_becomes_a_detection(spark):
     decoded = event_detections(spark, sf_dir)
     assert decoded.count() == spark.read.parquet(f"{sf_dir}/events.parquet").count()
     assert decoded.filter("gate IS NULL OR lane IS NULL OR ts IS NULL").isEmpty()
+
+
+def test_events_may_be_a_folder_of_files(spark, tmp_path):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    stream = event_detections(spark, str(tmp_path), streaming=True)
+    result = run_updates(counts.nation_counts(stream), ["nation"], ["count"])
+    assert sum(r["count"] for r in result.collect()) == events.count()
+
+
+def test_broker_reader_options():
+    spark = MagicMock()
+    reader = spark.readStream.format.return_value.options.return_value
+    reader.option.return_value = reader
+    read_messages(spark, "origin", servers="a:1,b:2", maxOffsetsPerTrigger="1000")
+    spark.readStream.format.assert_called_once_with("kafka")
+    spark.readStream.format.return_value.options.assert_called_once_with(
+        maxOffsetsPerTrigger="1000"
+    )
+    assert [c.args for c in reader.option.call_args_list] == [
+        ("kafka.bootstrap.servers", "a:1,b:2"),
+        ("subscribe", "origin"),
+        ("startingOffsets", "earliest"),
+        ("failOnDataLoss", "false"),
+    ]
+
+
+def test_broker_writer_options():
+    batch = MagicMock(isStreaming=False)
+    to_topic(batch, "results", servers="a:1")
+    batch.write.format.assert_called_once_with("kafka")
+    options = batch.write.format.return_value.options
+    options.assert_called_once_with(**{"kafka.bootstrap.servers": "a:1", "topic": "results"})
+    stream = MagicMock(isStreaming=True)
+    to_topic(stream, "results", checkpoint="/cp")
+    stream.writeStream.outputMode.assert_called_once_with("update")
