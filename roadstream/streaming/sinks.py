@@ -76,25 +76,26 @@ def to_topic(
         messages.write.format(format).options(**options).save()
         return None
     if not messages.isStreaming:
-        _stored(messages, topic, 0).write.format(format).mode("append").save(path)
+        # In the order of the input, as a topic would number them.
+        numbered = _stored(messages, topic, F.monotonically_increasing_id())
+        numbered.write.format(format).mode("append").save(path)
         return None
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        target = f"{path}/batch={batch_id}"
-        _stored(batch, topic, batch_id).write.format(format).mode("overwrite").save(target)
+        # A batch has one row per key; its number keeps later changes after earlier ones.
+        numbered = _stored(batch, topic, F.lit(batch_id).cast("bigint"))
+        numbered.write.format(format).mode("overwrite").save(f"{path}/batch={batch_id}")
 
     return _writer(messages, mode, checkpoint, trigger).foreachBatch(store).start()
 
 
-def _stored(messages: DataFrame, topic: str, batch_id: int) -> DataFrame:
-    # Files number no messages; the batch keeps later changes of a key after earlier ones.
-    offset = F.lit(batch_id).cast("bigint") if "offset" not in messages.columns else "offset"
+def _stored(messages: DataFrame, topic: str, offset: Column) -> DataFrame:
     return messages.select(
         "key",
         "value",
         F.lit(topic).alias("topic"),
         F.lit(0).alias("partition"),
-        offset.alias("offset") if isinstance(offset, Column) else offset,
+        (F.col("offset") if "offset" in messages.columns else offset).alias("offset"),
         F.current_timestamp().alias("timestamp"),
     )
 

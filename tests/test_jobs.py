@@ -1,0 +1,118 @@
+from __future__ import annotations
+
+import sys
+
+import pytest
+from pyspark import cloudpickle
+
+from roadstream.operators.latest import latest_per_key
+from roadstream.plans import jobs
+from roadstream.sources.gates import builtin_gates
+from roadstream.sources.messages import read_back_counts, read_messages
+from roadstream.streaming.sinks import ALL_AVAILABLE
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+FILE = """plate,gate,lane,ts,nation
+A,21,1.0,2016-01-01 00:00:00,it
+A,4,1.0,2016-01-01 00:10:00,it
+B,21,1,2016-01-01 00:00:00,?
+B,4,1,2016-01-01 01:00:00,?
+C,6,1,2016-01-01 00:00:00,fr
+"""
+
+
+class Lines:
+    """Appends each row to a file of its partition and batch."""
+
+    def __init__(self, folder):
+        self.folder = folder
+
+    def open(self, partition_id, epoch_id):
+        self.out = open(f"{self.folder}/{epoch_id}-{partition_id}", "w")
+        return True
+
+    def process(self, row):
+        self.out.write(",".join(str(v) for v in row) + "\n")
+
+    def close(self, error):
+        self.out.close()
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    (tmp_path / "day.csv").write_text(FILE)
+    path = str(tmp_path / "topics")
+    jobs.load_topics(
+        spark, str(tmp_path / "day.csv"), builtin_gates(spark), format="parquet", path=path
+    )
+    return path
+
+
+@pytest.fixture
+def messages(spark, store):
+    return read_messages(spark, format="parquet", path=store)
+
+
+@pytest.fixture
+def checkpoint(tmp_path):
+    return str(tmp_path / "checkpoint")
+
+
+def written(folder):
+    return sorted("".join(p.read_text() for p in folder.iterdir()).splitlines())
+
+
+def test_load_topics(spark, store):
+    gates = read_messages(spark, "locations", streaming=False, format="parquet", path=store)
+    assert gates.count() == 21
+    day = read_messages(spark, streaming=False, format="parquet", path=store)
+    lines = [r["value"].decode() for r in day.orderBy("offset").collect()]
+    assert lines == FILE.splitlines()[1:]
+
+
+@pytest.mark.parametrize("enriched", [False, True])
+def test_known_nation_counts(spark, messages, checkpoint, tmp_path, enriched):
+    path = str(tmp_path / "out")
+    jobs.known_nation_counts(
+        messages, checkpoint, ALL_AVAILABLE, enriched=enriched, format="parquet", path=path
+    ).awaitTermination()
+    stored = read_messages(
+        spark, "kafka-destination", streaming=False, format="parquet", path=path
+    )
+    newest = read_back_counts(latest_per_key(stored, ["key"], ["value"]))
+    assert sorted(map(tuple, newest.collect())) == [("fr", "fr", 1), ("it", "it", 2)]
+
+
+def test_row_writers(messages, checkpoint, tmp_path):
+    for name in ("gates", "tickets"):
+        (tmp_path / name).mkdir()
+    jobs.plate_counts_by_gate(
+        messages, checkpoint + "1", ALL_AVAILABLE, row_writer=Lines(str(tmp_path / "gates"))
+    ).awaitTermination()
+    assert written(tmp_path / "gates") == ["21,A,1", "21,B,1", "4,A,1", "4,B,1", "6,C,1"]
+    jobs.tickets_by_plate(
+        messages, checkpoint + "2", ALL_AVAILABLE, row_writer=Lines(str(tmp_path / "tickets"))
+    ).awaitTermination()
+    assert written(tmp_path / "tickets") == ["A,1"]
+
+
+@pytest.mark.parametrize(
+    "job", [jobs.nation_counts, jobs.plate_counts_by_gate, jobs.fines_by_nation]
+)
+def test_console_jobs(messages, checkpoint, job):
+    query = job(messages, checkpoint, ALL_AVAILABLE)
+    query.awaitTermination()
+    assert query.exception() is None
+    assert sum(p["numInputRows"] for p in query.recentProgress) > 0
+
+
+def test_results_to_the_console(spark, messages, checkpoint, tmp_path):
+    path = str(tmp_path / "out")
+    jobs.known_nation_counts(
+        messages, checkpoint, ALL_AVAILABLE, format="parquet", path=path
+    ).awaitTermination()
+    stored = read_messages(spark, "kafka-destination", format="parquet", path=path + "/batch=*")
+    query = jobs.results(stored, checkpoint + "2", ALL_AVAILABLE)
+    query.awaitTermination()
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 2
