@@ -16,12 +16,20 @@ RUNTIME_SETTINGS = {
     # A batch then stores what it changed instead of a snapshot of all state.
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
+PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings every job here relies on to a running session."""
+    """Apply the settings every job here relies on to a running session.
+
+    A local session that still has the default of 200 shuffle partitions gets one per thread,
+    as each partition of a stream keeps state stores of its own. A cluster's setting stays.
+    """
     for name, value in RUNTIME_SETTINGS.items():
         spark.conf.set(name, value)
+    context = spark.sparkContext
+    if context.master.startswith("local") and spark.conf.get(PARTITIONS) == "200":
+        spark.conf.set(PARTITIONS, str(context.defaultParallelism))
     return spark
 
 
