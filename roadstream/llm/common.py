@@ -76,6 +76,12 @@ def plain(texts: pa.Array) -> pa.Array:
     return filled.take(pa.array(np.arange(len(filled)))).cast(pa.large_string())
 
 
+def gathered_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of all texts in one array, and the length of each."""
+    data = plain(texts).cast(pa.large_binary()).to_pylist()
+    return np.frombuffer(b"".join(data), np.uint8), np.array([len(x) for x in data], np.int64)
+
+
 def words_of(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray]:
     """The words of each text and the offsets at which each text's words begin."""
     texts = plain(texts)

@@ -12,7 +12,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadstream.llm.common import crc_of_id, plain, slices
+from roadstream.llm.common import crc_of_id, gathered_bytes, plain, slices
 
 # n-grams of 1 to 3 bytes, hashed to so many presence features.
 LONGEST_GRAM = 3
@@ -35,10 +35,9 @@ class KernelModel:
 
 def presence(texts: pa.Array) -> np.ndarray:
     """One row of n-gram presence for each text; n-grams are taken over the whole text's bytes, A-Z in lower case."""
-    data = pc.ascii_lower(plain(texts)).cast(pa.large_binary()).to_pylist()
-    raw = np.frombuffer(b"".join(data), np.uint8)
-    row = np.repeat(np.arange(len(data), dtype=np.int32), [len(x) for x in data])
-    out = np.zeros((len(data), FEATURES), bool)
+    raw, lengths = gathered_bytes(pc.ascii_lower(plain(texts)))
+    row = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)
+    out = np.zeros((len(texts), FEATURES), bool)
     code = np.zeros(len(raw), np.uint32)
     for n in range(1, LONGEST_GRAM + 1):
         count = len(raw) - n + 1

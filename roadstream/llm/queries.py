@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadstream.llm import bpe, language, lattice, minhash, mixing, pii, quality, token_counts, topk
+from roadstream.llm import bpe, context_tree, language, lattice, minhash, mixing, pii, quality, token_counts, topk
 from roadstream.llm.common import new_path
 
 
@@ -52,6 +52,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -64,6 +68,7 @@ QUERIES = {
         op7_mix_sources,
         op8_pii,
         op9_byte_bpe,
+        op10_lm_score,
     )
 }
 
