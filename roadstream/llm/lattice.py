@@ -92,11 +92,16 @@ def _first_meeting(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def pairs_within(sizes: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places (a, b), a before b, of all pairs of rows that share a run, where runs of these sizes follow each other."""
+def pairs_within(sizes: np.ndarray, most: int, active: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (a, b), a before b, of all pairs of rows that share a run, where runs of these sizes follow each other.
+
+    With ``active``, only pairs whose first row is active.
+    """
     starts = np.cumsum(sizes) - sizes
     ends = np.repeat(starts + sizes, sizes)
     partners = ends - 1 - np.arange(len(ends))
+    if active is not None:
+        partners = np.where(active, partners, 0)
     total = np.cumsum(partners)
     at = 0
     while at < len(ends):

@@ -27,12 +27,18 @@ DEPTH = 3
 # Leaves that hold several components and more rows than a block branch further, by values of the sketch.
 DEEPER = 3
 BLOCK = 512
+# Rows outside of a leaf's main component meet the rows inside in blocks of so many.
+MAIN_BLOCK = 8192
+# A row that may be linked with some member of a larger component is compared with all of its members, in blocks.
+LARGE = 32
+MEMBERS_A_BLOCK = 1024
 ROWS_A_BUCKET = 16384
-BINS = 128
-# Pairs of this similarity by the sketch are confirmed on the sets; four and a half deviations below 0.8.
-SKETCH_FROM = 0.62
+BINS = 256
+# Pairs of this similarity by the sketch are confirmed on the sets: about five deviations below 0.8. Those from SURE_FROM
+# on are likely links, of which a row's smallest partner is as good as any.
+SKETCH_FROM = 0.71
+SURE_FROM = 0.84
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
-Leaves = DataFrame
 
 
 def _two_smallest(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -62,7 +68,7 @@ def sketches_of(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     owner = np.repeat(np.arange(len(offsets) - 1, dtype=np.uint64), np.diff(offsets))
     keys = (owner << np.uint64(50)) | (mix(tokens + np.uint64(0x632BE59BD9B4E019)) >> np.uint64(14))
     keys.sort()
-    place = keys >> np.uint64(43)
+    place = keys >> np.uint64(50 - (BINS - 1).bit_length())
     first = np.ones(len(keys), bool)
     first[1:] = place[1:] != place[:-1]
     out = np.zeros((len(offsets) - 1) * BINS, np.uint8)
@@ -100,17 +106,17 @@ def placed(docs: DataFrame, width: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, key long, sketch binary, leaves array<long>")
 
 
-def _passing(sketch: np.ndarray, size: np.ndarray, groups: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places of pairs of one group (rows come sorted by it) that may be similar enough."""
+def _passing(sketch: np.ndarray, size: np.ndarray, groups: np.ndarray, active: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places of pairs of one group (rows come sorted by it) that may be similar enough, and the sketch's similarity."""
     ends = np.flatnonzero(np.append(groups[1:] != groups[:-1], True)) + 1
-    for a, b in pairs_within(np.diff(ends, prepend=0), 1 << 15):
+    for a, b in pairs_within(np.diff(ends, prepend=0), 1 << 15, active):
         small, large = np.minimum(size[a], size[b]), np.maximum(size[a], size[b])
         keep = np.flatnonzero(100 * small >= 80 * large)
         a, b = a[keep], b[keep]
         x, y = sketch[a], sketch[b]
-        either = ((x | y) != 0).sum(1)
-        keep = np.flatnonzero(((x == y) & (x != 0)).sum(1) >= SKETCH_FROM * either)
-        yield a[keep], b[keep]
+        similar = ((x == y) & (x != 0)).sum(1) / np.maximum(((x | y) != 0).sum(1), 1)
+        keep = np.flatnonzero(similar >= SKETCH_FROM)
+        yield a[keep], b[keep], similar[keep]
 
 
 def _arrays(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -124,9 +130,10 @@ def _bucketed(rows: DataFrame, *group: str) -> DataFrame:
 
 
 def stars(leaves: DataFrame) -> DataFrame:
-    """(a, b, leaf, n, led): every row of a block of a leaf with its smallest partner by the sketch; b null where it has none.
+    """(a, b, c, leaf, n, led): every row of a block of a leaf with its smallest likely partner and its most similar one.
 
-    ``led`` says that the row has no smaller partner, so that it stands for its block in the next sweep.
+    Both are null where it has none. ``led`` says that the row has no smaller likely partner, so that it stands for its block
+    in the next sweep.
     """
     blocked = leaves.withColumn("block", F.pmod(F.xxhash64("key", F.lit(3)), F.ceil(F.col("n") / BLOCK)))
 
@@ -134,32 +141,50 @@ def stars(leaves: DataFrame) -> DataFrame:
         batch = batch.sort_values(["leaf", "block", "key"], ignore_index=True)
         key, size, sketch = _arrays(batch)
         none = np.iinfo(np.int64).max
-        partner = np.full(len(key), none)
-        for a, b in _passing(sketch, size, batch.groupby(["leaf", "block"], sort=False).ngroup().to_numpy()):
-            np.minimum.at(partner, b, key[a])
-            np.minimum.at(partner, a, key[b])
-        has = partner != none
-        out = batch.assign(a=key, b=pd.Series(np.where(has, partner, 0)).where(has).astype("Int64"), led=~has | (partner > key))
+        likely, closest, best = np.full(len(key), none), np.zeros(len(key), np.int64), np.zeros(len(key))
+        for a, b, similar in _passing(sketch, size, batch.groupby(["leaf", "block"], sort=False).ngroup().to_numpy()):
+            sure = similar >= SURE_FROM
+            np.minimum.at(likely, b[sure], key[a[sure]])
+            np.minimum.at(likely, a[sure], key[b[sure]])
+            one, other, value = np.append(a, b), np.append(b, a), np.append(similar, similar)
+            # Of a row's pairs, which come by rising similarity, the last one stays.
+            order = np.argsort(value, kind="stable")
+            order = order[value[order] > best[one[order]]]
+            closest[one[order]], best[one[order]] = key[other[order]], value[order]
+        has = best > 0
+        # Keys have all 64 bits, so they must not pass through floats on their way to nulls.
+        out = batch.assign(a=key, b=pd.arrays.IntegerArray(likely, likely == none), c=pd.arrays.IntegerArray(closest, ~has), led=likely > key)
         # A row without a partner in a leaf of one block has nothing more to tell.
-        return out.loc[has | (batch["n"] > BLOCK), ["a", "b", "leaf", "n", "led"]]
+        return out.loc[has | (batch["n"] > BLOCK), ["a", "b", "c", "leaf", "n", "led"]]
 
-    return _bucketed(blocked, "leaf", "block").groupBy("bucket").applyInPandas(sweep, "a long, b long, leaf long, n long, led boolean")
+    return _bucketed(blocked, "leaf", "block").groupBy("bucket").applyInPandas(sweep, "a long, b long, c long, leaf long, n long, led boolean")
+
+
+def _edges(swept: DataFrame) -> DataFrame:
+    return swept.select("a", F.explode(F.array_distinct(F.array_compact(F.array("b", "c")))).alias("b"))
 
 
 def crossings(rows: DataFrame) -> DataFrame:
-    """(a, b): all pairs of a group (leaf, block) from different components that pass the sketch, one of them ``odd``."""
+    """(a, b, whole): pairs of a group (leaf, block) from different components that pass the sketch, one of them ``odd``.
+
+    Where one of the components is large, b names it (whole) and a is the row of the smaller one.
+    """
 
     def sweep(batch: pd.DataFrame) -> pd.DataFrame:
-        batch = batch.sort_values(["leaf", "block", "key"], ignore_index=True)
+        batch = batch.sort_values(["leaf", "block", "odd", "key"], ascending=[True, True, False, True], ignore_index=True)
         key, size, sketch = _arrays(batch)
-        part, odd = batch["component"].to_numpy(), batch["odd"].to_numpy()
-        found = [np.zeros((0, 2), np.int64)]
-        for a, b in _passing(sketch, size, batch.groupby(["leaf", "block"], sort=False).ngroup().to_numpy()):
-            keep = (part[a] != part[b]) & (odd[a] | odd[b])
-            found.append(np.stack([key[b[keep]], key[a[keep]]], 1))
-        return pd.DataFrame(np.concatenate(found), columns=["a", "b"]).drop_duplicates()
+        part, odd, weight = batch["component"].to_numpy(), batch["odd"].to_numpy(), batch["weight"].to_numpy()
+        found = [pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64), "whole": np.zeros(0, bool)})]
+        for a, b, _ in _passing(sketch, size, batch.groupby(["leaf", "block"], sort=False).ngroup().to_numpy(), odd):
+            keep = np.flatnonzero(part[a] != part[b])
+            swap = weight[a[keep]] > weight[b[keep]]
+            low, high = np.where(swap, b[keep], a[keep]), np.where(swap, a[keep], b[keep])
+            whole = weight[high] > LARGE
+            x, y = key[low], key[high]
+            found.append(pd.DataFrame({"a": np.where(whole, x, np.maximum(x, y)), "b": np.where(whole, part[high], np.minimum(x, y)), "whole": whole}).drop_duplicates())
+        return pd.concat(found).drop_duplicates()
 
-    return _bucketed(rows, "leaf", "block").groupBy("bucket").applyInPandas(sweep, "a long, b long")
+    return _bucketed(rows, "leaf", "block").groupBy("bucket").applyInPandas(sweep, "a long, b long, whole boolean")
 
 
 def sets_of(docs: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
@@ -197,6 +222,40 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return full.mapInArrow(run, "a long, b long")
 
 
+def against_members(rows: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of rows (a, component, tokens) with members (key, component, weight, tokens): one for each row that has any.
+
+    A component's members and its rows are dealt to blocks, and each pair of blocks meets once.
+    """
+    many = rows.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / MEMBERS_A_BLOCK).cast("int").alias("js")).withColumnRenamed("component", "c")
+    shape = members.select("component", "weight").distinct().join(many, F.col("component") == F.col("c")).select("c", F.ceil(F.col("weight") / MEMBERS_A_BLOCK).cast("int").alias("is"), "js")
+    deal = lambda key, n: F.pmod(F.xxhash64(key, F.lit(9)), n).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    left = members.join(shape, F.col("component") == F.col("c")).withColumn("i", deal("key", F.col("is"))).withColumn("j", each(F.col("js"))).select("component", "i", "j", "key", "tokens", F.lit(True).alias("member"))
+    right = rows.join(shape, F.col("component") == F.col("c")).withColumn("j", deal("a", F.col("js"))).withColumn("i", each(F.col("is"))).select("component", "i", "j", F.col("a").alias("key"), "tokens", F.lit(False).alias("member"))
+
+    def search(batch: pd.DataFrame) -> pd.DataFrame:
+        own, others, found = batch[batch["member"]], batch[~batch["member"]], []
+        if len(own) and len(others):
+            sets = [np.frombuffer(t, np.uint64) for t in own["tokens"]]
+            sizes = np.array([len(t) for t in sets])
+            tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+            order = np.argsort(tokens, kind="stable")
+            tokens, owner = tokens[order], owner[order]
+            for a, text in zip(others["key"], others["tokens"]):
+                own_tokens = np.frombuffer(text, np.uint64)
+                start, stop = np.searchsorted(tokens, own_tokens, "left"), np.searchsorted(tokens, own_tokens, "right")
+                n = stop - start
+                at = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+                common = np.bincount(owner[at], minlength=len(sets))
+                hit = np.flatnonzero(100 * common >= percent * (sizes + len(own_tokens) - common))
+                if len(hit):
+                    found.append((a, own["key"].iloc[hit[0]]))
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+    return left.unionByName(right).groupBy("component", "i", "j").applyInPandas(search, "a long, b long")
+
+
 def _several(leaves: DataFrame) -> DataFrame:
     """The leaves that hold more than one component, with their most frequent one."""
     counts = leaves.groupBy("leaf", "component").agg(F.count(F.lit(1)).alias("rows"))
@@ -206,18 +265,18 @@ def _several(leaves: DataFrame) -> DataFrame:
 
 
 def remaining(leaves: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) between components that share a leaf: leaf, key, size, sketch, component."""
+    """Candidates (a, b, whole) between components that share a leaf: leaf, key, size, sketch, component, weight."""
     found = None
     live = leaves
     for level in range(DEEPER + 1):
         mixed = written(live.join(_several(live), F.col("leaf") == F.col("l")).drop("l"), "mixed")
         # Rows outside of the main component meet all rows of the leaf; the others need not meet each other.
         wide = (F.col("others") > BLOCK) & F.lit(level < DEEPER)
-        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+        blocks = F.ceil(F.col("n") / MAIN_BLOCK).cast("int")
         odd = F.col("component") != F.col("main")
         own = F.pmod(F.xxhash64("key", F.lit(5)), blocks).cast("int")
         dealt = mixed.filter(~wide).withColumn("odd", odd).withColumn("block", F.explode(F.when(odd, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))))
-        pairs = crossings(dealt.select("leaf", "block", "key", "size", "sketch", "component", "odd"))
+        pairs = crossings(dealt.select("leaf", "block", "key", "size", "sketch", "component", "weight", "odd"))
         found = pairs if found is None else found.unionByName(pairs)
         deeper = mixed.filter(wide)
         if level == DEEPER or deeper.isEmpty():
@@ -227,7 +286,7 @@ def remaining(leaves: DataFrame) -> DataFrame:
         live = (
             deeper.withColumn("bin", F.explode(F.array(child(1), child(2)))).withColumn("bin", F.col("bin.bin"))
             .withColumn("leaf", F.xxhash64("leaf", "bin", F.expr("substring(sketch, bin, 1)")))
-            .select("leaf", "key", "size", "sketch", "component")
+            .select("leaf", "key", "size", "sketch", "component", "weight")
         )
     return found
 
@@ -250,12 +309,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     leaves = written(shared.join(nodes.select("key", "size", "sketch"), "key"), "leaves")
 
     swept = written(stars(leaves), "stars")
-    pairs = swept.filter("b is not null").select("a", "b")
+    pairs = _edges(swept)
     # Rows that stand for their blocks in leaves of several blocks meet once more.
     standing = swept.filter(F.col("led") & (F.col("n") > BLOCK)).select("leaf", F.col("a").alias("key"))
     size = standing.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").withColumnRenamed("leaf", "l")
     again = standing.join(size, F.col("leaf") == F.col("l")).select("leaf", "n", "key").join(nodes.select("key", "size", "sketch"), "key")
-    pairs = pairs.unionByName(stars(again).filter("b is not null").select("a", "b"))
+    pairs = pairs.unionByName(_edges(stars(again)))
     pairs = written(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "pairs")
 
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
@@ -263,13 +322,24 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     links = written(confirmed(pairs, sets, percent), "links")
     parts = components(links)
 
-    known = leaves.select("leaf", "key", "size", "sketch").join(parts.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    rest = written(remaining(known).distinct().join(pairs, ["a", "b"], "left_anti"), "rest")
+    weights = parts.groupBy("component").agg(F.count(F.lit(1)).alias("weight"))
+    grouped = written(parts.join(weights, "component").select(F.col("node").alias("key"), "component", "weight"), "grouped")
+    known = (
+        leaves.select("leaf", "key", "size", "sketch").join(grouped, "key", "left")
+        .withColumn("component", F.coalesce("component", "key")).withColumn("weight", F.coalesce("weight", F.lit(1)))
+    )
+    rest = written(remaining(known).distinct(), "rest")
+    single = rest.filter("not whole").select("a", "b").join(pairs, ["a", "b"], "left_anti")
+    whole = rest.filter("whole").select("a", F.col("b").alias("component"))
     if not rest.isEmpty():
-        unread = rest.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(sets.select("key"), "key", "left_anti")
+        asked = single.select(F.explode(F.array("a", "b")).alias("key")).unionByName(whole.select(F.col("a").alias("key"))).distinct()
+        unread = written(asked.join(sets.select("key"), "key", "left_anti"), "unread")
         if not unread.isEmpty():
             sets = sets.unionByName(written(sets_of(docs, unread.join(least, "key"), width), "tokens"))
-        links = links.unionByName(written(confirmed(rest, sets, percent), "links"))
+        members = grouped.filter(F.col("weight") > LARGE).join(sets, "key")
+        rows_asked = whole.join(sets.withColumnRenamed("key", "a"), "a").select("a", "component", "tokens")
+        more = written(confirmed(single, sets, percent).unionByName(against_members(rows_asked, members, percent)), "links")
+        links = links.unionByName(more)
         parts = components(links)
 
     classes = least.join(parts.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
