@@ -41,7 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     plan = mixing.mix(docs.select("doc_id", "source", "text")).groupBy("doc_id").agg(
         F.sum("taken").alias("taken"), F.sum("size").alias("size"), F.min("position").alias("position")
     )
-    copies = plan.withColumn("copies", F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")).filter("copies > 0").select(F.col("doc_id").alias("id"), "copies", "position")
+    copies = plan.withColumn("copies", F.floor(F.try_divide("taken", "size") + 0.5).cast("int")).filter("copies > 0").select(F.col("doc_id").alias("id"), "copies", "position")
     mixed = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("id")))
     return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).sort("position", "doc_id").select(docs.columns)
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from roadstream.llm.common import mix, written
 from roadstream.llm.graph import components
 
-TABLES = 12
+TABLES = 16
 # E8 points in a cell's name: 16 projections a table.
 POINTS = 2
 # Length of a unit vector's projection on one direction, in units of the lattice.

@@ -57,7 +57,7 @@ def token_counts(docs: DataFrame, path: str, cache: str, limit: int = 512) -> Da
     """doc_id, n_bytes, n_tokens and over_limit of every document; new counts are appended to the table at ``cache``.
 
     Content is the text with null as the empty text. Only the digests of all rows are grouped; one row of each digest that
-    the cache lacks is encoded. Rows that repeat, or repeat an id or none, all get their count. Other columns are left out.
+    the cache lacks is encoded (and rows that repeat it with its id). Rows that repeat, or repeat an id or none, all get their count. Other columns are left out.
     ``cache`` is a Parquet folder that may not exist yet; two writers may both add a digest, which is read as one.
     """
     spark = docs.sparkSession
@@ -70,6 +70,6 @@ def token_counts(docs: DataFrame, path: str, cache: str, limit: int = 512) -> Da
     stored = spark.read.schema(CACHE_SCHEMA).parquet(cache).filter(F.col("tokenizer") == version)
     wanted = rows.groupBy("digest").agg(F.min("doc_id").alias("chosen")).join(stored.select("digest"), "digest", "left_anti")
     texts = keyed.join(wanted.withColumnRenamed("digest", "d").hint("shuffle_hash"), (F.col("digest") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("chosen")))
-    encoded_counts(texts, path).select("digest", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache)
+    encoded_counts(texts, path).dropDuplicates(["digest"]).select("digest", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache)
     counts = spark.read.schema(CACHE_SCHEMA).parquet(cache).filter(F.col("tokenizer") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     return rows.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
