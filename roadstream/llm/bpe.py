@@ -19,7 +19,7 @@ from roadstream.llm.common import mix, slices, string_hashes
 
 KEYS_A_BUCKET = 4
 # Encodings of pre-tokens that the vocabulary lacks are remembered within a task, up to so many.
-MEMO = 1 << 18
+MEMO = 1 << 17
 
 
 @dataclass
@@ -200,25 +200,28 @@ class Encoder:
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """All given columns, and ``ids`` array<int>: each match of the pattern encoded by itself, without special tokens.
+    """All given columns, ``ids`` array<int> and ``intact``: each match of the pattern encoded by itself, without special tokens.
 
-    Null and empty texts have no ids; rows that repeat are encoded alike. A given column ``ids`` is replaced. The vocabulary
-    (its size is that of the file) is broadcast.
+    ``intact`` says that the ids decode to the text. Null and empty texts have no ids and are intact; rows that repeat are
+    encoded alike. Given columns of these names are replaced. The vocabulary (its size is that of the file) is broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(ranks_path, pattern))
-    kept = docs.drop("ids")
+    kept = docs.drop("ids", "intact")
     names = kept.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
         for batch in batches:
-            for part in slices(batch, "text"):
-                ids, offsets = encoder.encode(pc.fill_null(part.column(part.schema.get_field_index("text")), "").to_pylist())
+            for part in slices(batch, "text", 1 << 20):
+                texts = pc.fill_null(part.column(part.schema.get_field_index("text")), "").to_pylist()
+                ids, offsets = encoder.encode(texts)
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*names, "ids"])
+                at = offsets.tolist()
+                same = [encoder.decode(ids[a:b]) == text.encode() for text, a, b in zip(texts, at, at[1:])]
+                yield pa.RecordBatch.from_arrays([*part.columns, lists, pa.array(same, pa.bool_())], names=[*names, "ids", "intact"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return kept.mapInArrow(run, f"{fields}, ids array<int>")
+    return kept.mapInArrow(run, f"{fields}, ids array<int>, intact boolean")
 
 
 def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:

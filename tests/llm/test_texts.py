@@ -161,7 +161,7 @@ def test_byte_pairs_equal_the_library(edge_docs, edge_rows):
         expected.append((r[0], len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((r[1] or "").encode()).hexdigest()))
     assert sorted((tuple(r) for r in bpe.round_trip_digests(edge_docs, RANKS, PATTERN).collect()), key=str) == sorted(expected, key=str)
     encoded = bpe.encode(edge_docs, RANKS, PATTERN)
-    assert encoded.columns == [*edge_docs.columns, "ids"]
+    assert encoded.columns == [*edge_docs.columns, "ids", "intact"] and encoded.filter("not intact").isEmpty()
     back = bpe.decode(encoded, RANKS, PATTERN).select("text", "decoded").collect()
     assert all(bytes(r["decoded"]).decode() == (r["text"] or "") for r in back)
 
