@@ -10,11 +10,8 @@ from pyspark.sql import functions as F
 
 from roadstream.schemas import UNKNOWN_NATION
 
-# Detections that one map of plate counts stands for; it has no more plates than that.
-MAP_DETECTIONS = 1_000_000
-# Rows of the broadcast table of busy gates, the busiest first. A gate beyond them has at most
-# 1/MAX_SPLIT_GATES of all detections and keeps one map.
-MAX_SPLIT_GATES = 20_000
+# Every gate's plate counts come as up to so many maps, whatever its traffic.
+MAP_PARTS = 64
 
 
 def known_nation() -> Column:
@@ -49,33 +46,18 @@ def single_count_maps(counts: DataFrame, key: str, count: str) -> DataFrame:
     return counts.select(F.col(key), F.create_map(name, F.col(count)).alias("counts"))
 
 
-def gate_plate_maps(
-    detections: DataFrame,
-    map_detections: int = MAP_DETECTIONS,
-    max_split_gates: int = MAX_SPLIT_GATES,
-) -> DataFrame:
-    """Plate counts per gate as maps.
+def gate_plate_maps(detections: DataFrame, parts: int = MAP_PARTS) -> DataFrame:
+    """Plate counts per gate as maps, each with a ``part`` of the gate's plates.
 
-    One map cannot hold all plates of a busy gate, so such a gate gets several, numbered by
-    ``part``: one for each ``map_detections`` detections. Together they hold every plate once.
+    The part of a plate is a hash modulo ``parts``, by one rule for all gates. Together the maps
+    of a gate hold every plate once; parts without plates are absent.
     """
     # A map key must not be NULL; a missing plate counts as the text that it prints as.
     named = detections.select("gate", F.coalesce("plate", F.lit("null")).alias("plate"))
-    counts = gate_plate_counts(named)
-    # Sizing by the sum of the counts, not by their number, keeps both uses of ``counts`` on
-    # the same columns, so Spark computes them once. Only the layout depends on this table.
-    busy = (
-        counts.groupBy(F.col("gate").alias("busy_gate"))
-        .agg(F.ceil(F.sum("cnt") / map_detections).alias("parts"))
-        .filter(F.col("parts") > 1)
-        .orderBy(F.desc("parts"), "busy_gate")
-        .limit(max_split_gates)
-    )
-    sized = counts.join(
-        F.broadcast(busy), F.col("gate").eqNullSafe(F.col("busy_gate")), "left"
-    )
-    part = F.pmod(F.xxhash64("plate"), F.coalesce("parts", F.lit(1)))
+    part = F.pmod(F.xxhash64("plate"), F.lit(parts)).cast("int")
     entry = F.struct(F.col("plate").alias("key"), F.col("cnt").alias("value"))
-    return sized.groupBy("gate", part.alias("part")).agg(
-        F.map_from_entries(F.collect_list(entry)).alias("counts")
+    return (
+        gate_plate_counts(named)
+        .groupBy("gate", part.alias("part"))
+        .agg(F.map_from_entries(F.collect_list(entry)).alias("counts"))
     )

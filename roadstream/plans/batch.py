@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,8 @@ from roadstream.sources.events import event_detections, event_messages
 from roadstream.sources.gates import builtin_gates, register_gates, scan_gates
 from roadstream.sources.messages import as_messages, read_back_counts
 
+TRACK_PART = 8
+
 
 def decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     detections = event_detections(spark, sf_dir)
@@ -28,9 +32,11 @@ def decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gate_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The named gate table with the detections seen at each gate."""
-    register_gates(builtin_gates(spark).withColumnRenamed("loc", "position"))
+    # A name of its own, so that no view of the caller's is replaced.
+    name = f"gate_positions_{uuid.uuid4().hex}"
+    register_gates(builtin_gates(spark).withColumnRenamed("loc", "position"), name)
     seen = event_detections(spark, sf_dir).groupBy("gate").agg(F.count("*").alias("cnt"))
-    return scan_gates(spark).join(seen, "gate", "left").select(
+    return scan_gates(spark, name).join(seen, "gate", "left").select(
         "gate",
         "loc",
         display_gate("gate", "loc").alias("text"),
@@ -130,8 +136,10 @@ def vehicle_track(spark: SparkSession, sf_dir: str) -> DataFrame:
     point = F.transform(
         "track", lambda p: F.concat_ws("@", p["gate"].cast("string"), p["ts"].cast("string"))
     )
-    return tracks.vehicle_tracks(event_detections(spark, sf_dir)).select(
-        "plate", "nation", "start_ts", "cnt", F.concat_ws(SEPARATOR, point).alias("track")
+    """Tracks in parts so short that ordinary vehicles have several, as their SQL has them."""
+    found = tracks.vehicle_tracks(event_detections(spark, sf_dir), entries=TRACK_PART)
+    return found.select(
+        "plate", "nation", "part", "start_ts", "cnt", F.concat_ws(SEPARATOR, point).alias("track")
     )
 
 

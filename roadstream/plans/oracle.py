@@ -90,9 +90,14 @@ SELECT nation, count(*) AS cnt FROM d WHERE nation IS DISTINCT FROM '?' GROUP BY
     "Q_gate_plate_map": f"""{_DETECTIONS}
 SELECT gate, count(DISTINCT plate) AS plates, count(*) AS cnt FROM d GROUP BY gate""",
     "Q_vehicle_track": f"""{_DETECTIONS}
-SELECT plate, nation, min(ts) AS start_ts, count(*) AS cnt,
+, n AS (
+  SELECT *, (row_number() OVER (PARTITION BY plate, nation ORDER BY ts, "offset") - 1) // 8 AS part,
+         count(*) OVER (PARTITION BY plate, nation) AS cnt
+  FROM e WHERE loc IS NOT NULL
+)
+SELECT plate, nation, part, min(ts) AS start_ts, any_value(cnt) AS cnt,
        string_agg(gate || '@' || ts, ',' ORDER BY ts, "offset") AS track
-FROM e WHERE loc IS NOT NULL GROUP BY plate, nation""",
+FROM n GROUP BY plate, nation, part""",
     "Q_consecutive_pairs": f"""{_VEHICLE}
 SELECT plate, nation, pts, ts, ploc, loc FROM p WHERE pts IS NOT NULL""",
     "Q_speed_violations": f"""{_VEHICLE}

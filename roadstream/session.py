@@ -17,6 +17,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 PARTITIONS = "spark.sql.shuffle.partitions"
+_own_folder: list[str] = []
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -41,8 +42,11 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="roadstream-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        # The setting cannot be changed in a running session.
+        if not _own_folder:
+            _own_folder.append(tempfile.mkdtemp(prefix="roadstream-"))
+        base = _own_folder[0]
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -37,17 +37,18 @@ def test_plate_counts(detections):
     assert as_dict(counts.plate_counts(rows)) == {"A": 2, "B": 1, "C": 1, "D": 1}
 
 
-def test_one_map_per_ordinary_gate(detections):
-    maps = counts.gate_plate_maps(detections([*NATIONS, (None, 2, 0, "it"), ("null", 2, 0, "it")]))
+def test_one_part_is_one_map_per_gate(detections):
+    rows = detections([*NATIONS, (None, 2, 0, "it"), ("null", 2, 0, "it")])
+    maps = counts.gate_plate_maps(rows, parts=1)
     assert {r["gate"]: r["counts"] for r in maps.collect()} == {
         1: {"A": 2, "B": 1},
         2: {"C": 1, "D": 1, "null": 2},
     }
 
 
-def test_busy_gates_are_split_without_loss(detections):
+def test_every_gate_is_split_without_loss(detections):
     rows = [(f"P{i % 97}", 4 if i % 3 else i % 7, 0, "it") for i in range(900)]
-    maps = counts.gate_plate_maps(detections(rows), map_detections=50).collect()
+    maps = counts.gate_plate_maps(detections(rows), parts=8).collect()
     assert Counter(r["gate"] for r in maps)[4] > 5
     merged = Counter()
     for row in maps:

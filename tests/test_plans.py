@@ -41,5 +41,4 @@ def test_hot_keys_are_looked_up_in_one_table(spark):
     )
     pairs.collect()
     final = plan_of(pairs).split("== Initial Plan ==")[0]
-    assert final.count("TakeOrderedAndProject") == 1
     assert "ReusedExchange" in final

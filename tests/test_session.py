@@ -2,6 +2,11 @@ from __future__ import annotations
 
 from unittest.mock import MagicMock
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 from roadstream.session import PARTITIONS, RUNTIME_SETTINGS, configure, work_folder
@@ -41,5 +46,27 @@ def test_a_cluster_needs_a_shared_folder():
 
 def test_a_local_session_makes_its_own_folder():
     spark, settings = fake("local[2]")
-    folder = work_folder(spark, "job")
-    assert folder.startswith(settings["spark.checkpoint.dir"] + "/job-")
+    first, second = work_folder(spark, "job"), work_folder(spark, "job")
+    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+    # The setting is read-only in a running session.
+    assert "spark.checkpoint.dir" not in settings
+
+
+def test_a_real_session_without_the_setting(tmp_path):
+    code = (
+        "from pyspark.sql import SparkSession\n"
+        "from roadstream.session import configure, work_folder\n"
+        "spark = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false')"
+        ".getOrCreate()\n"
+        "print('FOLDER', work_folder(configure(spark), 'job'))\n"
+    )
+    root = str(Path(__file__).resolve().parents[1])
+    env = os.environ | {"SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": root}
+    done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True)
+    assert "FOLDER" in done.stdout, done.stderr
+
+
+def test_several_executors_need_a_shared_folder():
+    spark, _ = fake("local-cluster[2,1,1024]")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_folder(spark, "job")
