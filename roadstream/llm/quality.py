@@ -104,10 +104,15 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int) -> list[tuple[n
     # The drawn rows are few; the documents are filtered by them before any text moves.
     chosen = docs.select("doc_id", "text").filter(draw < int(share * (1 << 20))).join(drawn, F.col("doc_id") == F.col("labelled")).select("doc_id", "text", F.col("quality").cast("int"))
     vectors = chosen.mapInArrow(run, "doc_id long, index array<int>, value array<float>, quality int")
-    table = vectors.toArrow().sort_by([("doc_id", "ascending")])
-    order = np.random.default_rng(5).permutation(table.num_rows)
-    index, value, label = (table[c].combine_chunks() for c in ("index", "value", "quality"))
-    return [(np.asarray(index[i].values), np.asarray(value[i].values, np.float64), label[i].as_py()) for i in order.tolist()]
+    rows = []
+    # The rows are views of what was received; nothing is copied.
+    for batch in vectors.toArrow().to_batches():
+        ids, index, value, label = batch.columns
+        at = index.offsets.to_numpy()
+        words, weights = index.values.to_numpy(), value.values.to_numpy()
+        rows += [(d, words[x:y], weights[x:y], q) for d, q, x, y in zip(ids.to_pylist(), label.to_pylist(), at, at[1:])]
+    rows.sort(key=lambda r: r[0])
+    return [rows[i][1:] for i in np.random.default_rng(5).permutation(len(rows))]
 
 
 def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> np.ndarray:
