@@ -18,9 +18,18 @@ from roadstream.operators import counts, tracks
 from roadstream.operators.enrich import with_location
 from roadstream.operators.latest import latest_per_key
 from roadstream.schemas import SEPARATOR
+from roadstream.session import work_folder
 from roadstream.sources.events import event_detections, event_messages
-from roadstream.sources.gates import builtin_gates, register_gates, scan_gates
-from roadstream.sources.messages import as_messages, read_back_counts
+from roadstream.sources.gates import builtin_gates, read_gates, register_gates, scan_gates
+from roadstream.sources.messages import (
+    NEVER_IN_TEXT,
+    as_messages,
+    gates_as_messages,
+    read_back_counts,
+    read_detection_lines,
+    read_messages,
+)
+from roadstream.streaming.sinks import to_topic
 
 TRACK_PART = 8
 
@@ -133,10 +142,10 @@ def gate_plate_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vehicle_track(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tracks in parts so short that ordinary vehicles have several, as their SQL has them."""
     point = F.transform(
         "track", lambda p: F.concat_ws("@", p["gate"].cast("string"), p["ts"].cast("string"))
     )
-    """Tracks in parts so short that ordinary vehicles have several, as their SQL has them."""
     found = tracks.vehicle_tracks(event_detections(spark, sf_dir), entries=TRACK_PART)
     return found.select(
         "plate", "nation", "part", "start_ts", "cnt", F.concat_ws(SEPARATOR, point).alias("track")
@@ -196,6 +205,38 @@ def event_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracks.event_gaps(event_detections(spark, sf_dir)).select("offset", "gap_ms")
 
 
+def line_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a line of files with headers, loaded to a topic and decoded from there."""
+    folder = work_folder(spark, "lines")
+    line = F.col("value").cast("string").alias("plate,gate,lane,ts,nation")
+    lines = event_messages(spark, sf_dir).select(line).write.option("sep", NEVER_IN_TEXT)
+    lines.option("header", True).csv(f"{folder}/files")
+    messages = as_messages(read_detection_lines(spark, f"{folder}/files"))
+    to_topic(messages, "origin", format="parquet", path=f"{folder}/topic")
+    stored = read_messages(spark, streaming=False, format="parquet", path=f"{folder}/topic")
+    return decode_detections(stored).select("plate", "gate", "lane", "ts", "nation")
+
+
+def gate_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gates that events name, by way of a gate file and a topic, with their detections."""
+    folder = work_folder(spark, "gates")
+    seen = with_location(event_detections(spark, sf_dir)).select("gate", "loc").distinct()
+    seen.write.csv(f"{folder}/files")
+    messages = gates_as_messages(read_gates(spark, f"{folder}/files"))
+    to_topic(messages, "locations", format="parquet", path=f"{folder}/topic")
+    stored = read_messages(
+        spark, "locations", streaming=False, format="parquet", path=f"{folder}/topic"
+    )
+    gates = stored.selectExpr(f"split(CAST(value AS STRING), '{SEPARATOR}') AS fields").selectExpr(
+        "CAST(fields[0] AS INT) AS gate", "CAST(fields[1] AS DOUBLE) AS loc"
+    )
+    return (
+        with_location(event_detections(spark, sf_dir), gates)
+        .groupBy("gate", "loc")
+        .agg(F.count("*").alias("cnt"))
+    )
+
+
 BATCH_QUERIES = {
     "Q_decode": decode,
     "Q_gate_positions": gate_positions,
@@ -221,4 +262,6 @@ BATCH_QUERIES = {
     "Q_tickets_by_plate": tickets_by_plate,
     "Q_avg_speed": average_speed,
     "Q_event_gap": event_gap,
+    "Q_line_files": line_files,
+    "Q_gate_file": gate_file,
 }

@@ -48,6 +48,8 @@ _TEXT = "plate || ' ' || gate || ' ' || lane || ' ' || ts_text || ' ' || nation"
 _NATION_COUNTS = f"{_DETECTIONS} SELECT nation, count(*) AS count FROM d GROUP BY nation"
 _KNOWN_NATION_COUNTS = f"""{_DETECTIONS}
 SELECT nation, count(*) AS count FROM d WHERE nation IS DISTINCT FROM '?' GROUP BY nation"""
+_COUNT_MAPS = f"""{_DETECTIONS}
+SELECT nation, count(*) AS cnt FROM d WHERE nation IS DISTINCT FROM '?' GROUP BY nation"""
 _ENRICHED_NATION_COUNTS = f"""{_DETECTIONS}
 SELECT nation, count(*) AS count, count(loc) AS located
 FROM e WHERE nation IS DISTINCT FROM '?' GROUP BY nation"""
@@ -77,8 +79,7 @@ SELECT "offset", plate, gate, lane, ts, nation, loc FROM e""",
 SELECT "offset", {_TEXT} AS text,
        {_TEXT} || ' ' || coalesce(CAST(loc AS VARCHAR), 'null') AS located_text
 FROM e""",
-    "Q_map_roundtrip": f"""{_DETECTIONS}
-SELECT nation, count(*) AS cnt FROM d WHERE nation IS DISTINCT FROM '?' GROUP BY nation""",
+    "Q_map_roundtrip": _COUNT_MAPS,
     "Q_latest_per_key": _LATEST,
     "Q_nation_counts": _NATION_COUNTS,
     "Q_known_nation_counts": _KNOWN_NATION_COUNTS,
@@ -114,6 +115,9 @@ SELECT "offset",
        greatest(ts - coalesce(lag(ts) OVER (PARTITION BY plate ORDER BY "offset"), ts), 0)
          * 1000 AS gap_ms
 FROM d""",
+    "Q_line_files": f"{_DETECTIONS} SELECT plate, gate, lane, ts, nation FROM d",
+    "Q_gate_file": f"""{_DETECTIONS}
+SELECT gate, loc, count(*) AS cnt FROM e WHERE loc IS NOT NULL GROUP BY gate, loc""",
     "S_nation_counts": _NATION_COUNTS,
     "S_known_nation_counts": _KNOWN_NATION_COUNTS,
     "S_enriched_nation_counts": _ENRICHED_NATION_COUNTS,
@@ -123,4 +127,8 @@ FROM d""",
     "S_tickets_by_plate": _TICKETS,
     # No message of this table is late: its events are in order of time.
     "S_fines_watermarked": _FINES,
+    "S_fines_restarted": _FINES,
+    "S_topic_upserts": _COUNT_MAPS,
+    "S_state_lookup": _KNOWN_NATION_COUNTS,
+    "S_every_second": _NATION_COUNTS,
 }

@@ -2,27 +2,51 @@
 
 from __future__ import annotations
 
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadstream.functions.text import decode_detections
 from roadstream.operators import counts
 from roadstream.operators.enrich import with_location
 from roadstream.operators.hot import hot_keys
 from roadstream.operators.latest import latest_per_key
 from roadstream.operators.tracks import VEHICLE, located
 from roadstream.session import work_folder
-from roadstream.sources.events import event_detections
+from roadstream.sources.events import event_detections, event_messages
+from roadstream.sources.messages import read_back_counts, read_messages
 from roadstream.streaming.fines import added_fines, pin_hot_keys, total_fines
-from roadstream.streaming.sinks import ALL_AVAILABLE, read_changes, read_table, to_changes, to_table
+from roadstream.streaming.sinks import (
+    ALL_AVAILABLE,
+    EVERY_SECOND,
+    count_messages,
+    read_changes,
+    read_result,
+    read_state,
+    to_changes,
+    to_table,
+    to_topic,
+)
+
+# A stored topic is read in about so many batches.
+BATCHES = 4
 
 
 def run_updates(
-    result: DataFrame, keys: list[str], values: list[str], folder: str | None = None
+    result: DataFrame,
+    keys: list[str],
+    values: list[str],
+    folder: str | None = None,
+    trigger: dict[str, Any] = ALL_AVAILABLE,
 ) -> DataFrame:
     """Run a stream over what is there, in update mode, and return its current rows."""
     spark = result.sparkSession
     folder = folder or work_folder(spark, "updates")
-    query = to_changes(result, f"{folder}/changes", f"{folder}/checkpoint", ALL_AVAILABLE)
+    query = to_changes(result, f"{folder}/changes", f"{folder}/checkpoint", trigger)
+    if trigger != ALL_AVAILABLE:
+        query.processAllAvailable()
+        query.stop()
     query.awaitTermination()
     return read_changes(spark, f"{folder}/changes", result.schema, keys, values)
 
@@ -33,7 +57,7 @@ def run_complete(result: DataFrame, folder: str | None = None) -> DataFrame:
     folder = folder or work_folder(spark, "complete")
     query = to_table(result, f"{folder}/result", f"{folder}/checkpoint", ALL_AVAILABLE)
     query.awaitTermination()
-    return read_table(spark, f"{folder}/result", result.schema)
+    return read_result(spark, f"{folder}/result", result.schema)
 
 
 def nation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,13 +93,18 @@ def latest_position(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _added_fines(
-    spark: SparkSession, sf_dir: str, keys: list[str], folder: str, watermark: str | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    keys: list[str],
+    folder: str,
+    watermark: str | None = None,
+    stream: DataFrame | None = None,
 ) -> DataFrame:
     """Added fines, with the hot keys taken from what the table holds at the start."""
     found = hot_keys(located(event_detections(spark, sf_dir)), keys)
     hot = pin_hot_keys(found, f"{folder}/hot")
     return added_fines(
-        event_detections(spark, sf_dir, streaming=True),
+        event_detections(spark, sf_dir, streaming=True) if stream is None else stream,
         keys,
         hot=None if hot.isEmpty() else hot,
         watermark=watermark,
@@ -100,6 +129,80 @@ def fines_watermarked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_complete(total_fines(added), folder)
 
 
+def _store_events(spark: SparkSession, sf_dir: str, path: str, half: int | None = None) -> int:
+    """Every event as a message of a stored topic, dealt to files by a hash; their number.
+
+    ``half`` stores one of two halves. A file holds events of all times, so those of later
+    files come between those of earlier ones.
+    """
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    messages = event_messages(spark, sf_dir)
+    if half is not None:
+        messages = messages.filter(F.pmod(F.xxhash64("offset", F.lit("half")), F.lit(2)) == half)
+    to_topic(messages.repartition(files, F.xxhash64("offset")), "origin", format="parquet", path=path)
+    return files
+
+
+def _stored_detections(spark: SparkSession, path: str, files: int) -> DataFrame:
+    a_batch = str(-(-files // BATCHES))
+    return decode_detections(
+        read_messages(spark, format="parquet", path=path, maxFilesPerTrigger=a_batch)
+    )
+
+
+def fines_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the events in several batches, a stop, and the other half after a restart."""
+    folder = work_folder(spark, "restarted")
+    topic = f"{folder}/topic"
+    for half in (0, 1):
+        files = _store_events(spark, sf_dir, topic, half)
+        stream = _stored_detections(spark, topic, files)
+        added = _added_fines(spark, sf_dir, VEHICLE, folder, stream=stream)
+        result = run_updates(total_fines(added), ["nation"], ["tot_fines"], folder)
+    return result
+
+
+def topic_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known nations as upserts of a topic, in several batches; the newest message of each key."""
+    folder = work_folder(spark, "upserts")
+    detections = _stored_detections(
+        spark, f"{folder}/topic", _store_events(spark, sf_dir, f"{folder}/topic")
+    )
+    maps = counts.single_count_maps(counts.known_nation_counts(detections), "nation", "count")
+    results = f"{folder}/results"
+    to_topic(
+        count_messages(maps, F.col("nation")),
+        "kafka-destination",
+        format="parquet",
+        path=results,
+        checkpoint=f"{folder}/checkpoint",
+        trigger=ALL_AVAILABLE,
+    ).awaitTermination()
+    stored = read_messages(
+        spark, "kafka-destination", streaming=False, format="parquet", path=results
+    )
+    newest = latest_per_key(stored, ["key"], ["value"])
+    return read_back_counts(newest).select(F.col("name").alias("nation"), "cnt")
+
+
+def state_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of known nations, looked up in the state of the stream that made them."""
+    folder = work_folder(spark, "lookup")
+    detections = event_detections(spark, sf_dir, streaming=True)
+    run_updates(counts.known_nation_counts(detections), ["nation"], ["count"], folder)
+    return read_state(spark, f"{folder}/checkpoint").select("key.nation", "value.count")
+
+
+def every_second(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of a stored topic with a batch each second, stopped once all is read."""
+    folder = work_folder(spark, "seconds")
+    detections = _stored_detections(
+        spark, f"{folder}/topic", _store_events(spark, sf_dir, f"{folder}/topic")
+    )
+    result = counts.nation_counts(detections)
+    return run_updates(result, ["nation"], ["count"], folder, EVERY_SECOND)
+
+
 STREAM_QUERIES = {
     "S_nation_counts": nation_counts,
     "S_known_nation_counts": known_nation_counts,
@@ -109,4 +212,8 @@ STREAM_QUERIES = {
     "S_fines_by_nation": fines_by_nation,
     "S_tickets_by_plate": tickets_by_plate,
     "S_fines_watermarked": fines_watermarked,
+    "S_fines_restarted": fines_restarted,
+    "S_topic_upserts": topic_upserts,
+    "S_state_lookup": state_lookup,
+    "S_every_second": every_second,
 }

@@ -12,6 +12,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from roadstream.functions.text import encode_counts
 from roadstream.operators.latest import latest_per_key
+from roadstream.schemas import ENVELOPE
 
 EVERY_SECOND = {"processingTime": "1 second"}
 ALL_AVAILABLE = {"availableNow": True}
@@ -76,8 +77,10 @@ def to_topic(
         messages.write.format(format).options(**options).save()
         return None
     if not messages.isStreaming:
-        # In the order of the input, as a topic would number them.
-        numbered = _stored(messages, topic, F.monotonically_increasing_id())
+        # In the order of the input and after what is stored, as a topic would number them.
+        own = "offset" in messages.columns
+        first = 0 if own else _next_offset(messages.sparkSession, topic, format, path)
+        numbered = _stored(messages, topic, F.monotonically_increasing_id() + first)
         numbered.write.format(format).mode("append").save(path)
         return None
 
@@ -89,6 +92,18 @@ def to_topic(
     return _writer(messages, mode, checkpoint, trigger).foreachBatch(store).start()
 
 
+def _next_offset(spark: SparkSession, topic: str, format: str, path: str) -> int:
+    """One past the highest offset of a stored topic; 0 for a topic without messages."""
+    try:
+        stored = spark.read.format(format).schema(ENVELOPE).load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+    last = stored.filter(F.col("topic") == topic).agg(F.max("offset")).first()[0]
+    return 0 if last is None else last + 1
+
+
 def _stored(messages: DataFrame, topic: str, offset: Column) -> DataFrame:
     return messages.select(
         "key",
@@ -129,14 +144,25 @@ def to_table(
     checkpoint: str,
     trigger: dict[str, Any] | None = None,
 ) -> StreamingQuery:
-    """Store the whole result after each batch, in place of the one before."""
+    """Store the whole result after each batch.
+
+    Two slots take turns, so the result before stays readable until the new one is there.
+    """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(folder)
+        numbered = batch.withColumn("batch", F.lit(batch_id).cast("bigint"))
+        numbered.write.mode("overwrite").parquet(f"{folder}/slot={batch_id % 2}")
 
     return _writer(result, "complete", checkpoint, trigger).foreachBatch(store).start()
 
 
+def read_result(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
+    """The newest result that ``to_table`` has stored."""
+    stored = read_table(spark, folder, StructType([*schema.fields, StructField("batch", LongType())]))
+    newest = stored.agg(F.max("batch")).first()[0]
+    return stored.filter(F.col("batch") == F.lit(newest)).select(schema.fieldNames())
+
+
 def read_table(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
     """A folder of results; empty where its stream has not had a batch yet."""
     try:

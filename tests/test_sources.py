@@ -90,6 +90,17 @@ def test_stored_topics(spark, tmp_path):
     assert stream.isStreaming
 
 
+def test_offsets_go_on_after_what_is_stored(spark, tmp_path):
+    path = str(tmp_path / "topics")
+    lines = spark.createDataFrame([("AB,1,1,x,it",), ("CD,2,1,x,fr",)], "value string")
+    for topic in ("origin", "origin", "other"):
+        to_topic(as_messages(lines), topic, format="parquet", path=path)
+    stored = read_messages(spark, "origin", streaming=False, format="parquet", path=path)
+    assert stored.count() == 4 == stored.select("offset").distinct().count()
+    other = read_messages(spark, "other", streaming=False, format="parquet", path=path)
+    assert other.agg(F.min("offset")).first()[0] < stored.agg(F.max("offset")).first()[0]
+
+
 def test_broker_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         read_messages(spark, "origin", streaming=False)

@@ -22,10 +22,12 @@ from roadstream.streaming.sinks import (
     ALL_AVAILABLE,
     count_messages,
     read_changes,
+    read_result,
     read_state,
     to_changes,
     to_console,
     to_rows,
+    to_table,
     to_topic,
 )
 from tests.samples import fines_by_hand, skewed_rows
@@ -118,6 +120,17 @@ def test_complete_mode_keeps_the_whole_result(topic):
     assert sorted_rows(result) == sorted_rows(batch)
 
 
+def test_the_result_before_stays_readable(topic, tmp_path):
+    """A batch writes beside the result of the batch before; the newest one is read."""
+    topic.add([("A", 1, 0, "it")] * 3, files=3)
+    found = counts.nation_counts(topic.detections())
+    folder = str(tmp_path / "result")
+    to_table(found, folder, str(tmp_path / "cp"), ALL_AVAILABLE).awaitTermination()
+    slots = topic.spark.read.parquet(folder).select("slot", "batch", "count").collect()
+    assert {tuple(r) for r in slots} == {(0, 2, 3), (1, 1, 2)}
+    assert sorted_rows(read_result(topic.spark, folder, found.schema)) == [(3, "it")]
+
+
 def test_a_stream_without_input_has_an_empty_result(topic, tmp_path):
     (tmp_path / "origin").mkdir()
     result = run_updates(counts.nation_counts(topic.detections()), ["nation"], ["count"])
