@@ -22,7 +22,10 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Documents without an id can't be told apart by a decision and stay.
     """
     decided = written(minhash.near_duplicates(docs.select("doc_id", "text")).filter("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("times")), "decided")
-    left = docs.join(decided.filter("not kept").select("doc_id"), "doc_id", "left_anti")
+    gone = decided.filter("not kept").select("doc_id")
+    # Only rows that may go are moved to be joined; the others stay where they are read. Packed, their columns clash with none.
+    rows = minhash.marked(docs.select(F.struct("*").alias("row"), "doc_id"), gone.withColumnRenamed("doc_id", "least"))
+    left = rows.filter("not likely").unionByName(rows.filter("likely").join(gone, "doc_id", "left_anti")).select("row.*")
     if not decided.filter("kept and times > 1").isEmpty():
         left = left.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.filter("doc_id is null"))
     return left.select(docs.columns)

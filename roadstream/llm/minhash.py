@@ -187,22 +187,24 @@ def crossings(rows: DataFrame) -> DataFrame:
     return _bucketed(rows, "leaf", "block").groupBy("bucket").applyInPandas(sweep, "a long, b long, whole boolean")
 
 
-def likely_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows whose id is among ``ids`` (column least), and some others: those whose hash meets a set bit.
+def marked(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows and ``likely``: true where the id is among ``ids`` (column least), and for some other ids whose hash meets a set bit.
 
-    The bits are 2**24 at most, so 2 MB are broadcast whatever the number of ids; texts that no one asks for don't move.
+    The bits are 2**24 at most, so 2 MB are broadcast whatever the number of ids; texts that no one asks for don't move. With
+    very many ids most bits are set, and then most rows are likely. Rows without an id may be marked either way.
     """
     place = lambda name: F.pmod(F.xxhash64(name), F.lit(1 << 24))
     bits = ids.select(place("least").alias("p")).groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
-    found = docs.withColumn("p", place("doc_id")).join(F.broadcast(bits), F.bitmap_bucket_number("p") == F.col("bucket"))
+    found = docs.withColumn("p", place("doc_id")).join(F.broadcast(bits), F.bitmap_bucket_number("p") == F.col("bucket"), "left")
     at = F.bitmap_bit_position("p")
     byte = F.conv(F.hex(F.expr("substring(bits, cast(bitmap_bit_position(p) div 8 as int) + 1, 1)")), 16, 10).cast("int")
-    return found.filter(F.getbit(byte, (at % 8).cast("int")) == 1).select(docs.columns)
+    likely = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    return found.select(*docs.columns, likely.alias("likely"))
 
 
 def sets_of(docs: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
     """(key, tokens) of the sets named by ``chosen`` (key, least): read from one document of each."""
-    texts = likely_rows(docs.select("doc_id", "text"), chosen).join(chosen, F.col("doc_id").eqNullSafe(F.col("least"))).select("key", "text")
+    texts = marked(docs.select("doc_id", "text"), chosen).filter("likely").join(chosen, F.col("doc_id").eqNullSafe(F.col("least"))).select("key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
