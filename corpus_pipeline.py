@@ -45,8 +45,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         F.sum("taken").alias("taken"), F.sum("size").alias("size"), F.min("position").alias("position")
     )
     copies = plan.withColumn("copies", F.floor(F.try_divide("taken", "size") + 0.5).cast("int")).filter("copies > 0").select(F.col("doc_id").alias("id"), "copies", "position")
-    mixed = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("id")))
-    return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).sort("position", "doc_id").select(docs.columns)
+    mixed = docs.select(F.struct("*").alias("row"), "doc_id").join(copies, F.col("doc_id").eqNullSafe(F.col("id")))
+    # A document moves once to its place and is repeated there. Packed, its columns clash with none.
+    placed = mixed.sort("position", "doc_id").select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return placed.select("row.*")
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
