@@ -24,6 +24,10 @@ KINDS = (*BASE_KINDS, "secret")
 STATES = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 REACH = 3
 EPOCHS = 250
+# Sequences are decoded together as long as they have no more words than this, with padding; their emissions take 6 MB.
+WORDS_A_BATCH = 1 << 16
+# Emissions of so many feature rows are remembered at a time.
+MOST_KNOWN = 1 << 16
 
 # The labelled table: entities in brackets after their kind. Digits and letters are varied in training.
 LABELLED = """
@@ -239,32 +243,61 @@ def train(epochs: int = EPOCHS) -> Field:
     return Field(index, params[0], transition, first)
 
 
-def viterbi(field: Field, sequences: list[list[str]]) -> list[np.ndarray]:
-    """The best states of each sequence of words; the steps run over all sequences together."""
-    if not sequences:
-        return []
-    longest, s = max(map(len, sequences)), len(STATES)
-    score = np.zeros((len(sequences), longest, s))
-    live = np.zeros((len(sequences), longest), bool)
-    known: dict[tuple, np.ndarray] = {}
-    for i, words in enumerate(sequences):
-        live[i, : len(words)] = True
-        for t, row in enumerate(word_features(words)):
-            key = tuple(row)
-            if key not in known:
-                known[key] = field.emission[[field.index[f] for f in row if f in field.index]].sum(0)
-            score[i, t] = known[key]
-    best = field.first + score[:, 0]
-    back = np.zeros((len(sequences), longest, s), np.int8)
-    for t in range(1, longest):
-        ways = best[:, :, None] + field.transition
-        back[:, t] = np.where(live[:, t, None], ways.argmax(1), np.arange(s))
-        best = np.where(live[:, t, None], ways.max(1) + score[:, t], best)
-    states = np.zeros((len(sequences), longest), np.int64)
+def _scores(field: Field, words: list[str], start: int, stop: int, known: dict[tuple, np.ndarray]) -> np.ndarray:
+    """The emissions of the words from start to stop; features look two words back and one ahead."""
+    left = max(start - 2, 0)
+    rows = word_features(words[left : stop + 1])[start - left : stop - left]
+    out = np.empty((len(rows), len(STATES)))
+    for t, row in enumerate(rows):
+        key = tuple(row)
+        if key not in known:
+            if len(known) >= MOST_KNOWN:
+                known.clear()
+            known[key] = field.emission[[field.index[f] for f in row if f in field.index]].sum(0)
+        out[t] = known[key]
+    return out
+
+
+def _decoded(field: Field, sequences: list[list[str]], known: dict[tuple, np.ndarray]) -> list[np.ndarray]:
+    """The best states of sequences of similar length. Emissions are held for a block of steps, only back-pointers for all."""
+    lengths = np.array([len(w) for w in sequences])
+    longest, n, s = int(lengths.max()), len(sequences), len(STATES)
+    back = np.zeros((n, longest, s), np.int8)
+    best = np.zeros((n, s))
+    steps = max(1, WORDS_A_BATCH // n)
+    for at in range(0, longest, steps):
+        score = np.zeros((n, min(steps, longest - at), s))
+        for i, words in enumerate(sequences):
+            if at < len(words):
+                own = _scores(field, words, at, min(at + steps, len(words)), known)
+                score[i, : len(own)] = own
+        for t in range(at, at + score.shape[1]):
+            if not t:
+                best = field.first + score[:, 0]
+                continue
+            ways = best[:, :, None] + field.transition
+            live = (t < lengths)[:, None]
+            back[:, t] = np.where(live, ways.argmax(1), np.arange(s))
+            best = np.where(live, ways.max(1) + score[:, t - at], best)
+    states = np.zeros((n, longest), np.int8)
     states[:, -1] = best.argmax(1)
     for t in range(longest - 1, 0, -1):
-        states[:, t - 1] = back[np.arange(len(sequences)), t, states[:, t]]
-    return [states[i, : len(w)] for i, w in enumerate(sequences)]
+        states[:, t - 1] = back[np.arange(n), t, states[:, t]]
+    return [states[i, :k] for i, k in enumerate(lengths)]
+
+
+def viterbi(field: Field, sequences: list[list[str]]) -> list[np.ndarray]:
+    """The best states of each sequence of words; the steps run over sequences of similar length together."""
+    out: list[np.ndarray] = [np.zeros(0, np.int8)] * len(sequences)
+    known: dict[tuple, np.ndarray] = {}
+    order = sorted((i for i, w in enumerate(sequences) if w), key=lambda i: len(sequences[i]))
+    while order:
+        # From the longest down, as many as fit when all are padded to it; a longer one goes alone.
+        some = order[-max(1, WORDS_A_BATCH // len(sequences[order[-1]])) :]
+        del order[-len(some) :]
+        for i, path in zip(some, _decoded(field, [sequences[i] for i in some], known)):
+            out[i] = path
+    return out
 
 
 def islands(text: str) -> list[list[tuple[int, str]]]:

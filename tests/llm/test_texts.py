@@ -7,6 +7,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -215,6 +216,23 @@ def test_the_field_adds_what_the_patterns_miss():
     ]
 
 
+def test_a_long_table_beside_many_islands(monkeypatch):
+    """Memory follows the words, not islands times the longest one; block borders change nothing."""
+    field, rng = pii.train(), random.Random(3)
+    line = lambda: [rng.choice(["call", "(212)", "555-0147", "10.0.0.1", "token", "=", "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b", "at", "7"]) for _ in range(rng.randint(1, 9))]
+    rows = [line() for _ in range(3000)] + [[str(i % 977) for i in range(20000)], sum((line() for _ in range(200)), [])]
+    tracemalloc.start()
+    whole = pii.viterbi(field, rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300 << 20
+    assert [len(p) for p in whole] == [len(w) for w in rows]
+    monkeypatch.setattr(pii, "WORDS_A_BATCH", 7)
+    monkeypatch.setattr(pii, "MOST_KNOWN", 5)
+    some = [*rows[:300], rows[-1]]
+    assert all((a == b).all() for a, b in zip(pii.viterbi(field, some), [*whole[:300], whole[-1]]))
+
+
 def test_lm_scores(spark, edge_docs, edge_rows):
     rows = [(r[0], r[1]) for r in edge_rows]
     training = [t for d, t in rows if d is None or zlib.crc32(str(d).encode()) % 7 != 2]
