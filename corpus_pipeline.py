@@ -40,15 +40,18 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mixture takes it, to the nearest whole, in the order of training."""
+    """Each document once for each pass of the mixture that takes at least half of it, each copy at its own place in training."""
+    turns = range(mixing.turns(mixing.MOST_TIMES))
     plan = mixing.mix(docs.select("doc_id", "source", "text")).groupBy("doc_id").agg(
-        F.sum("taken").alias("taken"), F.sum("size").alias("size"), F.min("position").alias("position")
+        F.sum("size").alias("size"),
+        *[F.sum(F.col("passes")[t]["part"]).alias(f"part_{t}") for t in turns],
+        *[F.min(F.col("passes")[t]["position"]).alias(f"position_{t}") for t in turns],
     )
-    copies = plan.withColumn("copies", F.floor(F.try_divide("taken", "size") + 0.5).cast("int")).filter("copies > 0").select(F.col("doc_id").alias("id"), "copies", "position")
+    taken = [F.when(2 * F.col(f"part_{t}") >= F.col("size"), F.struct(F.col(f"position_{t}").alias("position"), F.lit(t).alias("turn"))) for t in turns]
+    copies = plan.filter("size > 0").select(F.col("doc_id").alias("id"), F.explode(F.array_compact(F.array(*taken))).alias("place"))
     mixed = docs.select(F.struct("*").alias("row"), "doc_id").join(copies, F.col("doc_id").eqNullSafe(F.col("id")))
-    # A document moves once to its place and is repeated there. Packed, its columns clash with none.
-    placed = mixed.sort("position", "doc_id").select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return placed.select("row.*")
+    # Packed, the documents' columns clash with none.
+    return mixed.sort("place.position", "doc_id", "place.turn").select("row.*")
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

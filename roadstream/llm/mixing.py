@@ -60,6 +60,11 @@ def training_position(demand: Column, start: Column, end: Column) -> Column:
     return F.when(slope == 0, demand).otherwise(F.least((2 * whole * demand) / (start + root), F.lit(1.0)))
 
 
+def turns(most_times: float) -> int:
+    """How often the line of a source can be begun."""
+    return int(-(-most_times // 1))
+
+
 def mix(
     docs: DataFrame,
     weights: tuple[float, ...] = WEIGHTS,
@@ -67,11 +72,12 @@ def mix(
     share: float = SHARE,
     most_times: float = MOST_TIMES,
 ) -> DataFrame:
-    """doc_id, size, source_size, target, taken and position of every document, sorted by position.
+    """doc_id, size, source_size, target, taken, position and passes of every document, sorted by position.
 
     Each source's documents, in the order of a digest of their ids, fill a line of tokens that repeats; the mix takes
     the line up to the source's target, so a document's part of it is known from the tokens before it. ``position`` is
-    the training time (0 to 1) at which the first pass reaches the document.
+    the training time (0 to 1) at which the first pass reaches the document; ``passes`` has for each pass over the line the
+    words that it takes of the document and the time at which it reaches it (1 if the target ends before).
 
     Null texts have size 0, null sources form the last source. Rows that repeat an id are ordered by size; equal rows get
     different parts of the line. An empty table gives no rows; other columns are left out.
@@ -99,12 +105,11 @@ def mix(
     )
     # Whole words: the target is cut to a whole number of them.
     words = F.floor("target")
-    taken = sum(
-        (F.greatest(F.lit(0), F.least(F.col("size"), words - turn * F.col("source_size") - F.col("start"))) for turn in range(int(-(-most_times // 1)))),
-        F.lit(0),
-    )
-    demand = F.when(F.col("target") > 0, F.least(F.col("start") / F.col("target"), F.lit(1.0))).otherwise(F.lit(1.0))
+    parts = [F.greatest(F.lit(0), F.least(F.col("size"), words - turn * F.col("source_size") - F.col("start"))).cast("long") for turn in range(turns(most_times))]
+    demand = lambda turn: F.when(F.col("target") > 0, F.least((turn * F.col("source_size") + F.col("start")) / F.col("target"), F.lit(1.0))).otherwise(F.lit(1.0))
+    position = lambda turn: training_position(demand(turn), F.col("from_weight"), F.col("to_weight"))
+    passes = F.array(*[F.struct(part.alias("part"), position(turn).alias("position")) for turn, part in enumerate(parts)])
     return (
-        placed.select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), taken.cast("long").alias("taken"), training_position(demand, F.col("from_weight"), F.col("to_weight")).alias("position"))
+        placed.select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), sum(parts, F.lit(0)).cast("long").alias("taken"), position(0).alias("position"), passes.alias("passes"))
         .orderBy("position", "doc_id")
     )

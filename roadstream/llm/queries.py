@@ -40,7 +40,7 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_table(spark, sf_dir, "documents")).drop("position")
+    return mixing.mix(_table(spark, sf_dir, "documents")).drop("position", "passes")
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

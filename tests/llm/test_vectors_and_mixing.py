@@ -119,6 +119,24 @@ def test_mixing_on_edges(spark, edge_docs, edge_rows):
         assert abs(sum(r["taken"] for r in got if (r["source_size"], r["target"]) == (s, t)) - t) < 1
 
 
+def test_every_pass_has_its_own_position(spark):
+    """A source that is taken twice fills the whole of training, in the pipeline too, and copies lie a pass apart."""
+    docs = spark.createDataFrame([(i, "w " * 10, "z" if i < 40 else "a") for i in range(400)], "doc_id long, text string, source string")
+    for r in mixing.mix(docs).collect():
+        assert sum(p["part"] for p in r["passes"]) == r["taken"] and r["passes"][0]["position"] == r["position"]
+    twice = mixing.mix(docs, weights=(1.0, 9.0)).filter("taken = 20").collect()
+    assert len(twice) >= 40
+    second = [r["passes"][1]["position"] for r in twice]
+    assert max(second) > 0.9 and all(r["passes"][0]["position"] < r["passes"][1]["position"] for r in twice)
+    rows = [r["doc_id"] for r in corpus_pipeline.mix_sources(spark, docs, DATA).collect()]
+    assert abs(len(rows) - 600) <= 2
+    places = {}
+    for at, d in enumerate(rows):
+        places.setdefault(d, []).append(at)
+    apart = [p[1] - p[0] for p in places.values() if len(p) == 2]
+    assert len(apart) > 150 and min(apart) > 50
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_queries_equal_their_sql(spark, name):
     database = duckdb.connect()
