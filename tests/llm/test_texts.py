@@ -262,6 +262,34 @@ def test_the_tree_is_a_distribution(spark):
     assert likely > odd / 3
 
 
+def test_scores_equal_the_whole_tree(spark, monkeypatch):
+    """The tree in buckets gives what one tree of all contexts seen twice gives; rare contexts are kept beside many others."""
+    monkeypatch.setattr(context_tree, "GRAMS_A_BUCKET", 300)
+    monkeypatch.setattr(context_tree, "SLICE_BYTES", 4000)
+    rng = random.Random(8)
+    texts = [prose(rng, rng.randint(0, 40)) for _ in range(300)] + ["", "é" * 50, "zq9#k zq9#k", "zq9#k"]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r["score"] for r in context_tree.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    training = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 7 != 2]
+    tree = context_tree.fit(spark.createDataFrame(training, "doc_id long, text string"), 2)
+    assert got == pytest.approx(dict(enumerate(context_tree.log10_of(tree, pa.array(texts)).tolist())), rel=1e-3, abs=1e-3)
+
+
+def test_scores_without_training_are_uniform(spark):
+    rows = [(i, "abc") for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2]
+    got = context_tree.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r["score"] for r in got] == pytest.approx([-4 * math.log10(256)] * len(rows), abs=1e-3)
+
+
+def test_rare_contexts_are_kept_in_a_large_corpus(spark):
+    """A context seen twenty times counts, however many positions there are."""
+    rng = random.Random(9)
+    base = [prose(rng, 400) for _ in range(1200)]
+    rows = [(i, t) for i, t in enumerate(base)] + [(5000 + i, "zq9#kvxj") for i in range(24)]
+    got = [r["score"] for r in context_tree.score(spark.createDataFrame(rows, "doc_id long, text string")).filter("doc_id >= 5000").collect()]
+    assert min(got) > -7
+
+
 def test_kt_estimate_by_product():
     def product(a, b):
         out, zeros, ones = 0.0, 0, 0
