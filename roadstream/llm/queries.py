@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadstream.llm import bpe, context_tree, language, lattice, minhash, mixing, pii, quality, token_counts, topk
+from roadstream.llm import bpe, context_tree, language, lattice, minhash, mixing, pii, quality, search, spelling, token_counts, token_files, topk
 from roadstream.llm.common import new_path
 
 
@@ -56,6 +56,20 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.score(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "token-files")
+    token_files.write_tokens(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.checksums(token_files.read_tokens(spark, path))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -69,10 +83,15 @@ QUERIES = {
         op8_pii,
         op9_byte_bpe,
         op10_lm_score,
+        op11_ranked_search,
+        op12_spelling_variants,
+        op13_token_files,
     )
 }
 
 WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 ORACLE_SQL = {
     "op1_minhash_near_dedup": r"""
@@ -150,6 +169,57 @@ WITH sized AS (
 SELECT doc_id, size, source_size, target, CAST(greatest(0, least(size, floor(target) - start))
   + greatest(0, least(size, floor(target) - source_size - start)) AS BIGINT) AS taken FROM placed
 """,
-    "op8_pii": None,
+    "op11_ranked_search": f"""
+WITH words AS (
+  SELECT doc_id, row_number() OVER () AS d, regexp_extract_all({LOWERED}, '{TERM}') AS w FROM documents
+), sized AS (SELECT d, doc_id, w, CAST(len(w) AS BIGINT) AS n FROM words WHERE len(w) > 0),
+total AS (SELECT CAST(count(*) AS BIGINT) AS N, CAST(sum(n) AS BIGINT) AS L FROM sized),
+terms AS (SELECT d, doc_id, n, t, CAST(count(*) AS BIGINT) AS tf FROM (SELECT d, doc_id, n, unnest(w) AS t FROM sized) GROUP BY d, doc_id, n, t),
+weights AS (
+  SELECT t, CAST(floor(1000 * ln((2 * N + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS weight
+  FROM (SELECT t, count(*) AS df FROM terms GROUP BY t), total
+), asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({LOWERED}, '{TERM}')) AS t FROM benchmark),
+scored AS (
+  SELECT a.item_id, x.d, x.doc_id,
+    CAST(sum(w.weight * ((1000000000 * x.tf) // (1000 * x.tf + 20 * (50 + (50 * x.n * s.N) // s.L)))) AS BIGINT) AS score
+  FROM asked a JOIN terms x ON x.t = a.t JOIN weights w ON w.t = a.t, total s GROUP BY a.item_id, x.d, x.doc_id
+), ranked AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50
+""",
+    "op12_spelling_variants": f"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda x: list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc
+), runs AS (
+  SELECT doc_id, unnest(regexp_extract_all({LOWERED}, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents
+), counted AS (SELECT doc_id, run, count(*) AS c FROM runs WHERE length(run) >= 7 GROUP BY doc_id, run),
+hashed AS (
+  SELECT run, c, xor(list_reduce([4294967295] || flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+    lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [195, CAST(unicode(x) AS BIGINT) - 64] END)),
+    lambda h, b: xor(crc[(xor(h, b) & 255) + 1], h >> 8)), 4294967295) AS h FROM counted, crc_table
+), results AS (
+  SELECT c, CASE WHEN h % 31 = 0 THEN run[1 : h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word FROM hashed
+), words AS (
+  SELECT word, CAST(sum(c) AS BIGINT) AS n FROM results WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2
+), parts AS (
+  SELECT word, n, i, word[1 : i - 1] || word[i + 1 :] AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM parts a JOIN parts b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM parts a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM parts a JOIN words b ON a.rest = b.word
+), ranked AS (
+  SELECT word, other, other_n, row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other COLLATE "C") AS r, count(*) OVER (PARTITION BY word) AS n_near FROM near
+), forms AS (
+  SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.other_n >= 10 * w.n THEN r.other END AS form,
+    CASE WHEN r.other_n >= 10 * w.n THEN r.other_n END AS form_n
+  FROM words w LEFT JOIN (SELECT * FROM ranked WHERE r = 1) r ON r.word = w.word
+), steps AS (
+  SELECT word, word AS root, form AS next FROM forms
+  UNION ALL SELECT s.word, f.word, f.form FROM steps s JOIN forms f ON f.word = s.next
+)
+SELECT f.word, f.form, s.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n
+FROM forms f JOIN steps s ON s.word = f.word AND s.next IS NULL
+""",
 }
-ORACLE_SQL = {name: text for name, text in ORACLE_SQL.items() if text}
