@@ -11,6 +11,7 @@ apart by nothing. A null text is empty and has the end id alone. Other columns a
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 from collections.abc import Iterator
@@ -49,7 +50,16 @@ _KIND = (
 
 _SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 # Byte-level models name bytes by characters: shown ones by themselves, the rest by the characters from 256 on.
-VISIBLE = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+VISIBLE = np.arange(256, dtype="<u4")
+VISIBLE[[b for b in range(256) if b not in _SHOWN]] = np.arange(256, 512 - len(_SHOWN))
+
+
+def visible(pieces: list[str]) -> list[str]:
+    """The pieces as byte-level models spell them, one character a byte."""
+    data = [x.encode() for x in pieces]
+    spelled = VISIBLE[np.frombuffer(b"".join(data), np.uint8)].tobytes().decode("utf-32-le")
+    ends = list(itertools.accumulate(map(len, data), initial=0))
+    return [spelled[a:b] for a, b in itertools.pairwise(ends)]
 
 
 def pieces_of(texts: pa.Array, specials: list[str] = []) -> tuple[pa.Array, np.ndarray]:
@@ -120,14 +130,13 @@ class Encoder:
     def _learn(self, pieces: list[str]) -> None:
         # A piece of letters is one pre-token, for which the model alone can be asked.
         single = [x for x in pieces if (x[1:] if x[0] == " " else x).isalpha()] if self.cuts else []
-        tokens = [self.model.model.tokenize(x.encode().decode("latin-1").translate(VISIBLE)) for x in single]
+        lists = [[t.id for t in x] for x in map(self.model.model.tokenize, visible(single))]
         known = set(single)
-        pieces = single + [x for x in pieces if x not in known]
-        lists = [[t.id for t in x] for x in tokens]
-        lists += [x.ids for x in self.model.encode_batch_fast(pieces[len(single) :], add_special_tokens=False)]
+        others = [x for x in pieces if x not in known]
+        lists += [x.ids for x in self.model.encode_batch_fast(others, add_special_tokens=False)]
         counts = np.fromiter(map(len, lists), np.int64, len(lists))
-        fresh = np.fromiter((i for x in lists for i in x), np.uint32, int(counts.sum()))
-        self.slots.update(zip(pieces, range(len(self.starts) - 1, len(self.starts) - 1 + len(pieces))))
+        fresh = np.fromiter(itertools.chain.from_iterable(lists), np.uint32, int(counts.sum()))
+        self.slots.update(zip(itertools.chain(single, others), range(len(self.starts) - 1, len(self.starts) - 1 + len(pieces))))
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts)])
         self.flat = np.concatenate([self.flat, fresh])
 
@@ -138,10 +147,10 @@ class Encoder:
         pieces, ends = pieces_of(texts, self.added) if self.cuts else whole_texts(texts)
         coded = pieces.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        missing = [x for x in distinct if x not in self.slots]
+        missing = list(itertools.filterfalse(self.slots.__contains__, distinct))
         if missing:
             self._learn(missing)
-        slots = np.fromiter((self.slots[x] for x in distinct), np.int64, len(distinct))
+        slots = np.fromiter(map(self.slots.__getitem__, distinct), np.int64, len(distinct))
         sequence = np.insert(slots[coded.indices.to_numpy(zero_copy_only=False)], ends, 0)
         begins = self.starts[sequence]
         counts = self.starts[sequence + 1] - begins
@@ -151,8 +160,15 @@ class Encoder:
         return ids, np.diff(until[last], prepend=0)
 
 
-def encoded(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id and the ids of each document as little-endian unsigned 32-bit integers, the end id included."""
+def width_of(path: str) -> str:
+    """Two bytes an id where the tokenizer's vocabulary allows it, else four, little-endian."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
+
+
+def encoded(docs: DataFrame, path: str, width: str) -> DataFrame:
+    """doc_id and the ids of each document as unsigned integers of that width, the end id included."""
     id_type = docs.schema["doc_id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,20 +176,20 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text"):
                 ids, counts = encoder.encode(part.column(1))
-                yield pa.RecordBatch.from_arrays([part.column(0), binaries(ids.astype("<u4", copy=False), counts)], names=["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column(0), binaries(ids.astype(width), counts)], names=["doc_id", "ids"])
 
     schema = StructType([StructField("doc_id", id_type)]).add("ids", "binary")
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def ranks_of(ids: DataFrame) -> DataFrame:
+def ranks_of(ids: DataFrame, width: str) -> DataFrame:
     """rank, id and count of each id that occurs, the most frequent first, ties by id: one row an id of the vocabulary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(0, np.int64)
         for batch in batches:
             for part in slices(batch, "ids"):
-                found = np.bincount(values_of(part.column(0))[0])
+                found = np.bincount(values_of(part.column(0), width)[0])
                 if len(found) > len(counts):
                     counts, found = found, counts
                 counts[: len(found)] += found
@@ -211,8 +227,9 @@ def _block_schema(id_type) -> StructType:
 def write_tokens(docs: DataFrame, path: str, tokenizer: str) -> None:
     """Encode ``docs`` (doc_id, text) with the tokenizers library and write token files below ``path``."""
     spark = docs.sparkSession
-    ids = written(encoded(docs, tokenizer), "ids")
-    ranks_of(ids).coalesce(1).write.parquet(f"{path}/ranks")
+    width = width_of(tokenizer)
+    ids = written(encoded(docs, tokenizer, width), "ids")
+    ranks_of(ids, width).coalesce(1).write.parquet(f"{path}/ranks")
     rank_of = _rank_table(spark, path)[1]
     # Equal rows are told apart by where they are stored, so that many of them are no one task's.
     keyed = ids.withColumn("digest", F.xxhash64("ids")).withColumn("at", F.monotonically_increasing_id())
@@ -233,7 +250,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str) -> None:
 
         for batch in batches:
             for cut in slices(batch, "ids"):
-                values, counts = values_of(cut.column(1))
+                values, counts = values_of(cut.column(1), width)
                 kept.append((cut.column(0), counts, values))
                 if sum(len(x[2]) for x in kept) >= BLOCK_IDS:
                     yield flush()
