@@ -45,6 +45,37 @@ _PLATE = _pairs("plate")
 _LINE = "plate || ',' || gate || ',' || lane || ',' || ts_text || ',' || nation"
 _TEXT = "plate || ' ' || gate || ' ' || lane || ' ' || ts_text || ' ' || nation"
 
+# c: changes of gate positions.
+_CHANGES = f"""{_DETECTIONS},
+c AS (
+  SELECT CAST(event_id // 10 % 30 AS INTEGER) AS gate, event_id AS version, ts,
+         CASE WHEN event_id // 10 % 7 <> 3 THEN event_id % 1000 / 10.0::DOUBLE END AS loc
+  FROM events WHERE event_id % 10 = 0
+)
+"""
+# a: messages by the file, and so the batch, in which they arrive. w: the watermark that a batch drops by, which is
+# that of the batch before, so it knows the batches up to two before. l: messages that are not dropped.
+_LATE_FINES = f"""{_DETECTIONS},
+r AS (SELECT min(event_id) AS first, max(event_id) AS last, greatest(6, (count(*) + 1999999) // 2000000) AS files FROM events),
+a AS (
+  SELECT e.*, epoch_us(v.ts) AS us,
+         least(files - 1, (event_id - first) * files // (last - first + 1)
+           + CASE event_id % 7 WHEN 3 THEN 2 WHEN 5 THEN 1 ELSE 0 END) AS batch
+  FROM e JOIN events v ON v.event_id = e."offset", r
+),
+m AS (SELECT batch, max(us // 1000) AS ms FROM a GROUP BY batch),
+w AS (
+  SELECT b.batch, coalesce(max(m.ms) - 600000, 0) AS watermark
+  FROM (SELECT DISTINCT batch FROM a) b LEFT JOIN m ON m.batch <= b.batch - 2 GROUP BY b.batch
+),
+l AS (SELECT a.* FROM a JOIN w ON w.batch = a.batch WHERE us > watermark * 1000 AND loc IS NOT NULL),
+p AS (
+  SELECT l.*, lag(ts) OVER v AS pts, lag(loc) OVER v AS ploc FROM l
+  WINDOW v AS (PARTITION BY plate, nation ORDER BY ts, "offset")
+)
+SELECT nation, count(*) AS tot_fines FROM p
+WHERE loc <> ploc AND (ts = pts OR abs(loc - ploc) / (ts - pts) * 3600 > 130) GROUP BY nation"""
+
 _NATION_COUNTS = f"{_DETECTIONS} SELECT nation, count(*) AS count FROM d GROUP BY nation"
 _KNOWN_NATION_COUNTS = f"""{_DETECTIONS}
 SELECT nation, count(*) AS count FROM d WHERE nation IS DISTINCT FROM '?' GROUP BY nation"""
@@ -131,4 +162,14 @@ SELECT gate, loc, count(*) AS cnt FROM e WHERE loc IS NOT NULL GROUP BY gate, lo
     "S_topic_upserts": _COUNT_MAPS,
     "S_state_lookup": _KNOWN_NATION_COUNTS,
     "S_every_second": _NATION_COUNTS,
+    "S_fines_late": _LATE_FINES,
+    # A message sees the newest change that has a lower offset.
+    "S_changing_gates": f"""{_CHANGES}
+SELECT d."offset", d.plate, d.gate, c.loc, c.version FROM d ASOF LEFT JOIN c ON d.gate = c.gate AND d."offset" > c.version""",
+    "S_two_stream_join": f"""{_CHANGES}
+SELECT d."offset", d.plate, d.gate, c.loc, c.version
+FROM d JOIN events v ON v.event_id = d."offset" JOIN c ON c.gate = d.gate
+  AND v.ts BETWEEN c.ts - INTERVAL 1 HOUR AND c.ts + INTERVAL 1 HOUR""",
+    "S_track_lookup": f'{_DETECTIONS} SELECT plate, nation, ts, "offset", loc FROM e WHERE loc IS NOT NULL',
+    "S_row_files": f"""{_DETECTIONS} SELECT "offset", plate, gate, nation FROM d WHERE nation IS DISTINCT FROM '?'""",
 }

@@ -14,23 +14,31 @@ from roadstream.operators.hot import hot_keys
 from roadstream.operators.latest import latest_per_key
 from roadstream.operators.tracks import VEHICLE, located
 from roadstream.session import work_folder
-from roadstream.sources.events import event_detections, event_messages
-from roadstream.sources.messages import read_back_counts, read_messages
-from roadstream.streaming.fines import added_fines, pin_hot_keys, total_fines
+from roadstream.sources.events import event_detections, event_gate_changes, event_messages
+from roadstream.sources.messages import decode_gate_changes, read_back_counts, read_messages
+from roadstream.streaming.fines import added_fines, pin_hot_keys, stored_tracks, total_fines
+from roadstream.streaming.joins import joined_within, with_changing_location
 from roadstream.streaming.sinks import (
     ALL_AVAILABLE,
     EVERY_SECOND,
+    PartitionFiles,
     count_messages,
     read_changes,
     read_result,
     read_state,
+    read_table,
     to_changes,
+    to_files,
+    to_rows,
     to_table,
     to_topic,
 )
 
 # A stored topic is read in about so many batches.
 BATCHES = 4
+# A topic that is replayed in order is stored as so many files, more if one would have more messages.
+REPLAYED_FILES = 6
+REPLAYED_MESSAGES = 2_000_000
 
 
 def run_updates(
@@ -106,7 +114,7 @@ def _added_fines(
     return added_fines(
         event_detections(spark, sf_dir, streaming=True) if stream is None else stream,
         keys,
-        hot=None if hot.isEmpty() else hot,
+        hot=hot,
         watermark=watermark,
     )
 
@@ -143,6 +151,27 @@ def _store_events(spark: SparkSession, sf_dir: str, path: str, half: int | None
     return files
 
 
+def _replay_in_order(messages: DataFrame, path: str, delay: str = "0") -> None:
+    """Store messages by ranges of their offset, one file after the other, to be read in that order, one a batch.
+
+    ``delay`` says how many files later than its range a message arrives; what would come after the last file
+    comes with it.
+    """
+    first, last, count = messages.selectExpr("min(offset)", "max(offset)", "count(*)").first()
+    if not count:
+        return
+    files = max(REPLAYED_FILES, -(-count // REPLAYED_MESSAGES))
+    arrival = F.expr(f"least({files - 1}, (offset - {first}) * {files} DIV {last - first + 1} + {delay})")
+    numbered = messages.withColumn("arrival", arrival)
+    for file in range(files):
+        batch = numbered.filter(F.col("arrival") == file).drop("arrival").coalesce(1)
+        batch.write.mode("append").parquet(path)
+
+
+def _replayed(spark: SparkSession, path: str, topic: str = "origin") -> DataFrame:
+    return read_messages(spark, topic, format="parquet", path=path, maxFilesPerTrigger="1")
+
+
 def _stored_detections(spark: SparkSession, path: str, files: int) -> DataFrame:
     a_batch = str(-(-files // BATCHES))
     return decode_detections(
@@ -203,6 +232,62 @@ def every_second(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_updates(result, ["nation"], ["count"], folder, EVERY_SECOND)
 
 
+def fines_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some messages arrive one or two files late; what is behind the watermark then is dropped."""
+    folder = work_folder(spark, "late")
+    delay = "CASE offset % 7 WHEN 3 THEN 2 WHEN 5 THEN 1 ELSE 0 END"
+    _replay_in_order(event_messages(spark, sf_dir), f"{folder}/topic", delay)
+    stream = decode_detections(_replayed(spark, f"{folder}/topic"))
+    added = _added_fines(spark, sf_dir, VEHICLE, folder, "10 minutes", stream)
+    return run_complete(total_fines(added), folder)
+
+
+def _detections_and_changes(spark: SparkSession, sf_dir: str, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Two topics in the same files: each batch has the messages of both of a range of offsets."""
+    topic = f"{folder}/topic"
+    _replay_in_order(event_messages(spark, sf_dir).unionByName(event_gate_changes(spark, sf_dir)), topic)
+    return decode_detections(_replayed(spark, topic)), decode_gate_changes(_replayed(spark, topic, "locations"))
+
+
+def run_appends(result: DataFrame, folder: str) -> DataFrame:
+    """Run a stream of rows that stay over what is there, and return all of them."""
+    to_files(result, f"{folder}/rows", f"{folder}/checkpoint", ALL_AVAILABLE).awaitTermination()
+    return read_table(result.sparkSession, f"{folder}/rows", result.schema)
+
+
+def changing_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each message with the position that its gate has at that offset."""
+    folder = work_folder(spark, "gates")
+    detections, changes = _detections_and_changes(spark, sf_dir, folder)
+    joined = with_changing_location(detections, changes)
+    return run_appends(joined.select("offset", "plate", "gate", "loc", "version"), folder)
+
+
+def two_stream_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each message with the changes of its gate within an hour."""
+    folder = work_folder(spark, "within")
+    joined = joined_within(*_detections_and_changes(spark, sf_dir, folder))
+    return run_appends(joined.select("offset", "plate", "gate", "loc", "version"), folder)
+
+
+def track_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tracks that a fines stream keeps, looked up in its state."""
+    folder = work_folder(spark, "tracks")
+    added = _added_fines(spark, sf_dir, VEHICLE, folder)
+    run_updates(total_fines(added), ["nation"], ["tot_fines"], folder)
+    return stored_tracks(spark, f"{folder}/checkpoint", operator=2)
+
+
+def row_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known detections through the row writer, read back from its files."""
+    folder = work_folder(spark, "rows")
+    rows = event_detections(spark, sf_dir, streaming=True).filter(counts.known_nation())
+    rows = rows.select("offset", "plate", "gate", "nation")
+    writer = PartitionFiles(f"{folder}/rows")
+    to_rows(rows, writer, "append", f"{folder}/checkpoint", ALL_AVAILABLE).awaitTermination()
+    return spark.read.schema(rows.schema).json(f"{folder}/rows").select(rows.columns)
+
+
 STREAM_QUERIES = {
     "S_nation_counts": nation_counts,
     "S_known_nation_counts": known_nation_counts,
@@ -216,4 +301,9 @@ STREAM_QUERIES = {
     "S_topic_upserts": topic_upserts,
     "S_state_lookup": state_lookup,
     "S_every_second": every_second,
+    "S_fines_late": fines_late,
+    "S_changing_gates": changing_gates,
+    "S_two_stream_join": two_stream_join,
+    "S_track_lookup": track_lookup,
+    "S_row_files": row_files,
 }

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 from typing import Any
 
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,9 @@ from roadstream.functions.text import encode_counts
 from roadstream.operators.latest import latest_per_key
 from roadstream.schemas import ENVELOPE
 
+# Row writers run where the rows are, and executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 EVERY_SECOND = {"processingTime": "1 second"}
 ALL_AVAILABLE = {"availableNow": True}
 
@@ -45,6 +50,52 @@ def to_rows(
     return _writer(result, mode, checkpoint, trigger).foreach(row_writer).start()
 
 
+class PartitionFiles:
+    """A row writer for ``to_rows``: one file of JSON lines for each partition of each batch, whole or not at all.
+
+    A file appears under its name when the partition is complete. A partition that is written again, after a restart or
+    a lost task, finds its file and is skipped. The folder has to be one that all executors share.
+    """
+
+    def __init__(self, folder: str) -> None:
+        self.folder = folder.removeprefix("file://")
+
+    def open(self, partition_id: int, epoch_id: int) -> bool:
+        import os
+        import uuid
+
+        batch = f"{self.folder}/batch={epoch_id}"
+        self.path = f"{batch}/part-{partition_id:05d}.json"
+        self.rows = 0
+        if os.path.exists(self.path):
+            self.file = None
+            return False
+        os.makedirs(batch, exist_ok=True)
+        # Names that begin with a dot are not read.
+        self.unfinished = f"{batch}/.{partition_id}-{uuid.uuid4().hex}"
+        self.file = open(self.unfinished, "w", encoding="utf-8")
+        return True
+
+    def process(self, row: Any) -> None:
+        import json
+
+        self.file.write(json.dumps(row.asDict(recursive=True), default=str) + "\n")
+        self.rows += 1
+
+    def close(self, error: Exception | None) -> None:
+        import os
+
+        if self.file is None:
+            return
+        self.file.flush()
+        os.fsync(self.file.fileno())
+        self.file.close()
+        if error is None and self.rows:
+            os.replace(self.unfinished, self.path)
+        else:
+            os.remove(self.unfinished)
+
+
 def count_messages(counts: DataFrame, key: Column, map_column: str = "counts") -> DataFrame:
     """Count maps to messages. Pass ``F.lit("key")`` as key to put all under one key."""
     return counts.select(
@@ -138,6 +189,13 @@ def read_changes(
     return latest_per_key(changes, keys, values, version="batch")
 
 
+def to_files(
+    result: DataFrame, folder: str, checkpoint: str, trigger: dict[str, Any] | None = None
+) -> StreamingQuery:
+    """Add the rows of a result that is never taken back to a folder, each batch once."""
+    return _writer(result, "append", checkpoint, trigger).format("parquet").option("path", folder).start()
+
+
 def to_table(
     result: DataFrame,
     folder: str,
@@ -178,9 +236,25 @@ def read_state(
 ) -> DataFrame:
     """The state of one operator of a stream, by key, from its checkpoint.
 
-    The fines keep several state variables, of which one has to be named.
+    Of an operator with named state variables one has to be named.
     """
     reader = spark.read.format("statestore").option("operatorId", operator)
     if variable is not None:
         reader = reader.option("stateVarName", variable)
     return reader.load(checkpoint)
+
+
+def read_state_changes(
+    spark: SparkSession,
+    checkpoint: str,
+    first_batch: int,
+    last_batch: int,
+    operator: int = 0,
+    variable: str | None = None,
+) -> DataFrame:
+    """What batches from the first to the last one changed in a state, with ``batch_id`` and ``change_type``."""
+    reader = spark.read.format("statestore").option("operatorId", operator).option("readChangeFeed", True)
+    reader = reader.option("changeStartBatchId", first_batch).option("changeEndBatchId", last_batch)
+    if variable is not None:
+        reader = reader.option("stateVarName", variable)
+    return reader.load(checkpoint)

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark import cloudpickle
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from roadstream.functions.text import decode_detections
@@ -15,15 +16,24 @@ from roadstream.operators.enrich import with_location
 from roadstream.operators.hot import Split, hot_keys
 from roadstream.operators.latest import latest_per_key
 from roadstream.operators.tracks import VEHICLE
-from roadstream.plans.stream import run_complete, run_updates
+from roadstream.plans.stream import run_appends, run_complete, run_updates
 from roadstream.sources.messages import read_back_counts, read_messages
-from roadstream.streaming.fines import added_fines, fines_between, pin_hot_keys, total_fines
+from roadstream.streaming.fines import (
+    added_fines,
+    fines_between,
+    pin_hot_keys,
+    stored_tracks,
+    total_fines,
+)
+from roadstream.streaming.joins import joined_within, with_changing_location
 from roadstream.streaming.sinks import (
     ALL_AVAILABLE,
+    PartitionFiles,
     count_messages,
     read_changes,
     read_result,
     read_state,
+    read_state_changes,
     to_changes,
     to_console,
     to_rows,
@@ -252,10 +262,110 @@ def test_hot_cells_expire_behind_the_watermark(spark, topic, tmp_path):
     stream = added(topic, hot=hot, watermark="10 minutes", retention_s=3171)
     folder = str(tmp_path / "job")
     assert totals(run_complete(total_fines(stream), folder)) == {"it": 1}
-    cells = read_state(spark, f"{folder}/checkpoint", 2, "spans")
+    cells = read_state(spark, f"{folder}/checkpoint", 2, "nodes")
     assert {r["key"]["cell"] for r in cells.collect()} == {"200000/0", "200001/0"}
 
 
+def test_idle_vehicles_expire_behind_the_watermark(topic, tmp_path):
+    """A vehicle that is seen no more is forgotten, one that is seen again keeps what is new enough."""
+    for row in [("A", 21, 100_000), ("B", 4, 100_600), ("B", 4, 102_000), ("C", 4, 104_500), ("C", 5, 104_501)]:
+        topic.add([(*row, "it")])
+    folder = str(tmp_path / "job")
+    stream = added(topic, watermark="10 minutes", retention_s=3171)
+    run_complete(total_fines(stream), folder)
+    kept = stored_tracks(topic.spark, f"{folder}/checkpoint", operator=1)
+    assert {(r.plate, r.ts) for r in kept.collect()} == {("B", 100_600), ("B", 102_000), ("C", 104_500), ("C", 104_501)}
+
+
+def test_what_batches_changed_in_a_state(topic, tmp_path):
+    for row in [("A", 21, 0), ("A", 4, 60), ("B", 4, 120)]:
+        topic.add([(*row, "it")])
+    folder = str(tmp_path / "job")
+    run_updates(counts.plate_counts(topic.detections()), ["plate"], ["cnt"], folder)
+    changes = read_state_changes(topic.spark, f"{folder}/checkpoint", 1, 2)
+    assert {(r.batch_id, r.change_type, r.key.plate) for r in changes.collect()} == {(1, "update", "A"), (2, "update", "B")}
+
+
+def located_rows(frame):
+    return {r["offset"]: (r["loc"], r["version"]) for r in frame.collect()}
+
+
+def gate_changes(spark, folder, batches):
+    """A stream of changes ``(gate, loc, offset, seconds)``, one file a batch."""
+    schema = "gate int, loc double, offset bigint, seconds bigint"
+    for rows in batches:
+        frame = spark.createDataFrame(rows, schema).withColumn("timestamp", F.timestamp_seconds("seconds"))
+        frame.drop("seconds").coalesce(1).write.mode("append").parquet(str(folder))
+    reader = spark.readStream.schema("gate int, loc double, offset bigint, timestamp timestamp")
+    return reader.option("maxFilesPerTrigger", 1).parquet(str(folder))
+
+
+def test_a_table_that_changes(spark, topic, tmp_path):
+    """A position comes, moves within a batch, goes, and comes back; other gates and missing ones see none of it."""
+    for rows in ([0, 1, 2, 3], [4, 5], [6]):
+        topic.add([("A", 7 if i in (2, 3) else 1, i, "it") for i in rows])
+    changes = gate_changes(
+        spark, tmp_path / "gates", [[(1, 5.0, 0, 0), (1, 6.0, 1, 0), (8, 9.0, 0, 0)], [(1, None, 4, 0)], [(1, 7.0, 5, 0), (None, 1.0, 2, 0)]]
+    )
+    joined = with_changing_location(topic.detections(), changes, parts=3).select("offset", "loc", "version")
+    found = located_rows(run_appends(joined, str(tmp_path / "job")))
+    assert found == {0: (None, None), 1: (5.0, 0), 2: (None, None), 3: (None, None), 4: (6.0, 1), 5: (None, 4), 6: (7.0, 5)}
+
+
+def test_a_change_of_an_earlier_batch_is_what_a_late_message_sees(spark, topic, tmp_path):
+    topic.add([("A", 2, 0, "it"), ("A", 2, 1, "it")])
+    topic.add([("A", 1, 2, "it")])
+    changes = gate_changes(spark, tmp_path / "gates", [[(1, 5.0, 10, 0), (1, 6.0, 20, 0)], [(3, 1.0, 30, 0)]])
+    joined = with_changing_location(topic.detections(), changes, parts=2).select("offset", "loc", "version")
+    assert located_rows(run_appends(joined, str(tmp_path / "job")))[2] == (6.0, 20)
+
+
+def test_a_changing_table_after_a_restart(spark, topic, tmp_path):
+    changes = gate_changes(spark, tmp_path / "gates", [[(1, 5.0, -1, 0)]])
+    folder = str(tmp_path / "job")
+    for i in range(2):
+        topic.add([("A", 1, i, "it")])
+        joined = with_changing_location(topic.detections(), changes, parts=2).select("offset", "loc", "version")
+        found = located_rows(run_appends(joined, folder))
+    assert found == {0: (5.0, -1), 1: (5.0, -1)}
+
+
+def test_two_streams_meet_once_and_leave_the_state(spark, topic, tmp_path):
+    hours = [100, 101, 102, 130, 160]
+    for h in hours:
+        topic.add([("A", 1, h * 3600, "it"), ("B", 2, h * 3600, "it")])
+    changes = gate_changes(spark, tmp_path / "gates", [[(1, float(h), h, h * 3600 + 60)] for h in hours])
+    joined = joined_within(topic.detections(), changes, within="1 hour", parts=3).select("plate", "ts", "version")
+    folder = str(tmp_path / "job")
+    found = [tuple(r) for r in run_appends(joined, folder).collect()]
+    pairs = [("A", a * 3600, b) for a in hours for b in hours if abs(a * 3600 - b * 3600 - 60) <= 3600]
+    assert sorted(found) == sorted(pairs)
+    left = spark.read.format("statestore").option("joinSide", "left").load(f"{folder}/checkpoint")
+    right = spark.read.format("statestore").option("joinSide", "right").load(f"{folder}/checkpoint")
+    # Only what is near the last hour is left.
+    assert {r.value.ts for r in left.collect()} <= {160 * 3600} and {r.value.version for r in right.collect()} <= {160}
+
+
+def test_a_partition_is_written_once(spark, topic, tmp_path):
+    writer = PartitionFiles(f"file://{tmp_path}/rows")
+    assert writer.open(3, 7)
+    writer.process(Row(a=1, b=None))
+    writer.process(Row(a=2, b="x"))
+    assert not list(tmp_path.glob("rows/batch=7/part-*"))
+    writer.close(None)
+    again = PartitionFiles(f"{tmp_path}/rows")
+    assert not again.open(3, 7)
+    again.close(None)
+    failed = PartitionFiles(f"{tmp_path}/rows")
+    assert failed.open(4, 7)
+    failed.process(Row(a=3, b=None))
+    failed.close(ValueError("lost"))
+    assert failed.open(5, 7)
+    failed.close(None)
+    assert {(r.a, r.b, r.batch) for r in spark.read.schema("a int, b string, batch int").json(f"{tmp_path}/rows").collect()} == {(1, None, 7), (2, "x", 7)}
+    assert len(list(tmp_path.glob("rows/batch=7/*"))) == 1
+
+
 def test_fines_between_compares_ends_with_starts():
     track = tuple(map(np.array, ([0, 100, 100], [0, 1, 2], [0.0, 5.0, 9.0], [10, 100, 100], [1.0, 5.0, 9.0])))
     assert fines_between(track, 130.0) == 2
