@@ -48,14 +48,14 @@ def crc_of_id(column: str = "doc_id") -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary"))
 
 
-def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that no part has much more text than ``most_bytes``; one text is never cut."""
+def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20, most_rows: int = 1 << 14) -> Iterator[pa.RecordBatch]:
+    """Cut a batch so that no part has more rows than ``most_rows`` or much more text than ``most_bytes``; one text is never cut."""
     sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0)
     ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
     while start < batch.num_rows:
         before = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, before + most_bytes, side="right")))
+        stop = max(start + 1, min(start + most_rows, int(np.searchsorted(ends, before + most_bytes, side="right"))))
         yield batch.slice(start, stop - start)
         start = stop
 

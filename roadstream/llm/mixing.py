@@ -71,6 +71,7 @@ def mix(
     schedules: tuple[tuple[float, float], ...] = SCHEDULES,
     share: float = SHARE,
     most_times: float = MOST_TIMES,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """doc_id, size, source_size, target, taken, position and passes of every document, sorted by position.
 
@@ -80,9 +81,11 @@ def mix(
     words that it takes of the document and the time at which it reaches it (1 if the target ends before).
 
     Null texts have size 0, null sources form the last source. Rows that repeat an id are ordered by size; equal rows get
-    different parts of the line. An empty table gives no rows; other columns are left out.
+    different parts of the line. An empty table gives no rows; other columns are left out, but for those in ``carry``, which
+    also order rows that are otherwise equal.
     """
     sized = docs.select(
+        *carry,
         "doc_id",
         "source",
         F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("size"),
@@ -95,7 +98,7 @@ def mix(
         .withColumn("slice_start", F.coalesce(F.sum("slice_size").over(line), F.lit(0)))
         .select(F.col("source").alias("s"), F.col("slice").alias("k"), "slice_start")
     )
-    inside = Window.partitionBy("source", "slice").orderBy("turn", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "slice").orderBy("turn", "doc_id", "size", *carry).rowsBetween(Window.unboundedPreceding, -1)
     placed = (
         sized.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
         .join(slices, F.col("source").eqNullSafe(F.col("s")) & (F.col("slice") == F.col("k")))
@@ -110,6 +113,6 @@ def mix(
     position = lambda turn: training_position(demand(turn), F.col("from_weight"), F.col("to_weight"))
     passes = F.array(*[F.struct(part.alias("part"), position(turn).alias("position")) for turn, part in enumerate(parts)])
     return (
-        placed.select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), sum(parts, F.lit(0)).cast("long").alias("taken"), position(0).alias("position"), passes.alias("passes"))
+        placed.select(*carry, "doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), sum(parts, F.lit(0)).cast("long").alias("taken"), position(0).alias("position"), passes.alias("passes"))
         .orderBy("position", "doc_id")
     )

@@ -83,6 +83,9 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
+# What parts long words; the signs that occur within entities do not.
+_PART = re.compile(r"""[^,;:=|&?"'`<>{}\[\]]+""")
+LONG_WORD = 64
 _TRIGGER = re.compile(r"[0-9@]")
 _HEX = re.compile(r"[0-9a-fA-F]{20,}")
 _OUTER_LEFT, _OUTER_RIGHT = "\"'<[{", ".,;:!?%$&*#\"'>]}"
@@ -130,7 +133,7 @@ def _core(word: str) -> str:
 
 
 def _shape(word: str) -> str:
-    short = re.sub(r"[0-9]", "9", word[:64])
+    short = re.sub(r"[0-9]", "9", word)
     short = re.sub(r"[A-Z]+", "A", re.sub(r"[^\W\d_A-Z]+", "a", short))
     return re.sub(r"9{5,}", lambda m: "9{" + str(min(20, len(m.group()) // 4 * 4)) + "}", short)
 
@@ -141,7 +144,7 @@ def word_features(words: list[str]) -> list[list[str]]:
     kinds = [re.sub(r"(.)\1+", r"\1", re.sub(r"9\{\d+\}", "9", s)) for s in shapes]
     out = []
     for i, core in enumerate(cores):
-        digits = len(_DIGIT.findall(core[:64]))
+        digits = len(_DIGIT.findall(core))
         before, earlier = (words[i - 1].lower() if i else "^"), (words[i - 2].lower() if i > 1 else "^")
         row = ["1", "s=" + shapes[i], "k=" + kinds[i], f"d={min(digits, 16) // 2}", f"l={min(len(core), 48) // 8}"]
         row += ["p=" + (kinds[i - 1] if i else "^"), "n=" + (kinds[i + 1] if i + 1 < len(words) else "$")]
@@ -300,9 +303,16 @@ def viterbi(field: Field, sequences: list[list[str]]) -> list[np.ndarray]:
     return out
 
 
+def _tokens(start: int, word: str) -> list[tuple[int, str]]:
+    """A word with its place; a long one, such as a line of JSON without spaces, in the parts between its punctuation."""
+    if len(word) <= LONG_WORD:
+        return [(start, word)]
+    return [(start + m.start(), m.group()) for m in _PART.finditer(word)]
+
+
 def islands(text: str) -> list[list[tuple[int, str]]]:
     """The words within reach of a digit or an ``@``, with their places; near ones together."""
-    words = [(m.start(), m.group()) for m in _WORD.finditer(text)]
+    words = [x for m in _WORD.finditer(text) for x in _tokens(m.start(), m.group())]
     out: list[list[tuple[int, str]]] = []
     until = -1
     for i, (_, word) in enumerate(words):
@@ -325,7 +335,8 @@ def _plausible(kind: str, text: str) -> bool:
     if kind == "phone":
         return 9 <= len(digits) <= 15
     if kind == "ip":
-        return _IP.fullmatch(text) is not None and all(int(p) <= 255 for p in text.split("."))
+        parts = [p.lstrip("0") for p in text.split(".")]
+        return _IP.fullmatch(text) is not None and all(len(p) <= 3 and int(p or 0) <= 255 for p in parts)
     return kind != "email" or "@" in text
 
 

@@ -40,7 +40,11 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_table(spark, sf_dir, "documents")).drop("position", "passes")
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    # For each pass what it takes and when it comes in training.
+    passes = [F.col("passes")[t][x].alias(f"{x}_{t + 1}") for t in range(mixing.turns(mixing.MOST_TIMES)) for x in ("part", "position")]
+    mixed = mixed.select("doc_id", "size", "source_size", "target", "taken", *passes)
+    return mixed.withColumns({c: F.round(c, 9) for c in mixed.columns if c.startswith("position")})
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,7 +150,7 @@ FROM reach r LEFT JOIN counts c ON c.a = r.a GROUP BY r.a
 """,
     "op7_mix_sources": f"""
 WITH sized AS (
-  SELECT doc_id, source, CAST({WORDS} AS BIGINT) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS turn FROM documents
+  SELECT row_number() OVER () AS row, doc_id, source, CAST({WORDS} AS BIGINT) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS turn FROM documents
 ), sources AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
   FROM sized GROUP BY source
@@ -160,14 +164,25 @@ WITH sized AS (
     / sum(weight) OVER (ORDER BY level, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS water FROM levels
 ), final AS (SELECT water FROM waters WHERE water <= level ORDER BY level, place LIMIT 1
 ), targets AS (
-  SELECT source, source_size, coalesce(least(most, weight * (SELECT water FROM final)), most) AS target FROM waters
+  SELECT source, place, source_size, coalesce(least(most, weight * (SELECT water FROM final)), most) AS target FROM waters
 ), placed AS (
-  SELECT s.*, t.source_size, t.target, coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.turn, s.doc_id, s.size
+  SELECT s.*, t.source_size, t.target, CASE t.place % 3 WHEN 0 THEN 1.5::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 0.5::DOUBLE END AS w0,
+    CASE t.place % 3 WHEN 0 THEN 0.5::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 1.5::DOUBLE END AS w1, coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.turn, s.doc_id, s.size
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
 )
-SELECT doc_id, size, source_size, target, CAST(greatest(0, least(size, floor(target) - start))
-  + greatest(0, least(size, floor(target) - source_size - start)) AS BIGINT) AS taken FROM placed
+, passes AS (
+  SELECT *, unnest([0, 1]) AS pass FROM placed
+), asked AS (
+  SELECT *, CAST(greatest(0, least(size, floor(target) - pass * source_size - start)) AS BIGINT) AS part,
+    CASE WHEN target > 0 THEN least((pass * source_size + start)::DOUBLE / target, 1.0::DOUBLE) ELSE 1.0::DOUBLE END AS demand FROM passes
+), timed AS (
+  SELECT *, CASE WHEN w0 = w1 THEN demand ELSE least(((w0 + w1) * demand)
+    / (w0 + sqrt(greatest(w0 * w0 + (w1 - w0) * (w0 + w1) * demand, 0.0::DOUBLE))), 1.0::DOUBLE) END AS position FROM asked
+)
+SELECT a.doc_id, a.size, a.source_size, a.target, a.part + b.part AS taken, a.part AS part_1, round(a.position, 9) AS position_1,
+  b.part AS part_2, round(b.position, 9) AS position_2
+FROM timed a JOIN timed b ON a.pass = 0 AND b.pass = 1 AND a.row = b.row
 """,
     "op11_ranked_search": f"""
 WITH words AS (

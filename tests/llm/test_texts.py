@@ -301,3 +301,31 @@ def test_kt_estimate_by_product():
     pairs = [(0, 0), (1, 0), (3, 5), (40, 2), (0, 17)]
     got = context_tree._log_kt(*(np.array(x, float) for x in zip(*pairs)))
     assert got == pytest.approx([product(a, b) for a, b in pairs], abs=1e-7)
+
+
+def test_an_unbounded_dotted_part_is_no_address():
+    """The field may take a word of thousands of digits for an address; its parts are never read as numbers."""
+    text = "ping 192.168.1." + "7" * 5000 + " from here"
+    field = pii.train()
+    base = [pii.base_spans(text)]
+    assert pii.added_spans(field, [text], base)[0] == []
+    assert not pii._plausible("ip", "192.168.1." + "7" * 5000) and pii._plausible("ip", "010.0.0.255")
+
+
+def test_what_stands_late_in_a_long_word_is_found():
+    field = pii.train()
+    alone = "call 212-555-0193 now"
+    found = pii.added_spans(field, [alone], [pii.base_spans(alone)])[0]
+    assert [alone[a:b] for a, _, b in found] == ["212-555-0193"]
+    line = '{"name":"' + "n" * 80 + '","call":' + alone.split()[1] + ',"note":"' + "m" * 80 + '"}'
+    late = pii.added_spans(field, [line], [pii.base_spans(line)])[0]
+    assert [line[a:b] for a, _, b in late] == ["212-555-0193"]
+
+
+def test_more_rows_a_batch_than_a_shingle_holds(spark):
+    """Rows are numbered within fourteen bits; larger batches are cut."""
+    docs = pa.RecordBatch.from_arrays([pa.array([f"a{i} b{i} c{i}" for i in range(20000)])], names=["text"])
+    parts = list(common.slices(docs, "text"))
+    assert [p.num_rows for p in parts] == [16384, 3616]
+    for part in parts:
+        assert set(np.diff(common.shingles_of(part.column(0), 2)[1])) == {2}

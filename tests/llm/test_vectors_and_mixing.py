@@ -171,3 +171,17 @@ def test_pipeline_stages_on_edges(spark, edge_docs, no_docs, tmp_path):
     for docs in (edge_docs, no_docs):
         for name, stage in corpus_pipeline.STAGES:
             assert stage(spark, docs, str(tmp_path)).count() <= 3 * docs.count(), name
+
+
+def test_rows_without_an_id_are_mixed_one_by_one(spark, tmp_path):
+    """Two sources of rows that no id tells apart: each gets the copies that the plan gives to its rows, and texts without words go."""
+    rows = [(None, f"{s} " * 10, s) for s in "ab" for _ in range(10)] + [(1, " ", "a"), (2, None, "b"), (3, "a " * 10, "a"), (3, "a " * 10, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs.write.parquet(str(tmp_path / "docs"))
+    for table in (docs, spark.read.parquet(str(tmp_path / "docs"))):
+        plan = mixing.mix(table).filter("size > 0").collect()
+        copies = sum(2 * p["part"] >= r["size"] for r in plan for p in r["passes"])
+        got = corpus_pipeline.mix_sources(spark, table, DATA).collect()
+        assert len(got) == copies and not any((r["text"] or "").strip() == "" for r in got)
+        # Weights 5 and 2 of 36 texts: one source twice (24 copies), the other filled to its target.
+        assert sum(r["source"] == "a" for r in got) == 24 and 0 < sum(r["source"] == "b" for r in got) <= 20
