@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +12,11 @@ from roadstream.llm.common import written
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts; it learns from the labels of those that are there."""
+    """Documents that the quality classifier accepts; it learns from the labels of those that are there.
+
+    Null and empty texts are scored as texts without features. Rows that repeat an id are scored each by its own text, so they may
+    part; rows without an id are scored too and teach nothing. Without labels every score is the same. Columns keep their values.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality.score(docs, quality.train(docs, labels)).filter("predicted = 1").select(docs.columns)
 
@@ -32,30 +37,47 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data replaced by its kind."""
+    """Personal data replaced by its kind, in whole texts of any length; a null text stays null, an empty one empty.
+
+    Each row is decided by its own text alone, so repeated rows agree and rows without an id are treated alike.
+    """
     found = pii.detect(docs).withColumn("text", F.col("redacted"))
     if "n_chars" in docs.columns:
         found = found.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return found.select(docs.columns)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """The columns of the documents as ``row``, and where each row is stored, which names it in every reading."""
+    place = ("_metadata.file_path", "_metadata.row_index")
+    try:
+        return docs.select(F.struct("*").alias("row"), *place)
+    except AnalysisException:
+        # Rows that are not read from files are stored first.
+        return written(docs, "numbered").select(F.struct("*").alias("row"), *place)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document once for each pass of the mixture that takes at least half of it, each copy at its own place in training."""
+    """Each row once for each pass of the mixture that takes at least half of it, each copy at its own place in training.
+
+    The mixture decides on rows: rows that share an id, or have none, get places of their own. A null source is the last
+    source. Texts that are null or have no word have nothing to train on and are left out. Rows are sorted by place, so a very
+    long text is one row in one place; an empty table gives no rows.
+    """
     turns = range(mixing.turns(mixing.MOST_TIMES))
-    plan = mixing.mix(docs.select("doc_id", "source", "text")).groupBy("doc_id").agg(
-        F.sum("size").alias("size"),
-        *[F.sum(F.col("passes")[t]["part"]).alias(f"part_{t}") for t in turns],
-        *[F.min(F.col("passes")[t]["position"]).alias(f"position_{t}") for t in turns],
-    )
-    taken = [F.when(2 * F.col(f"part_{t}") >= F.col("size"), F.struct(F.col(f"position_{t}").alias("position"), F.lit(t).alias("turn"))) for t in turns]
-    copies = plan.filter("size > 0").select(F.col("doc_id").alias("id"), F.explode(F.array_compact(F.array(*taken))).alias("place"))
-    mixed = docs.select(F.struct("*").alias("row"), "doc_id").join(copies, F.col("doc_id").eqNullSafe(F.col("id")))
-    # Packed, the documents' columns clash with none.
-    return mixed.sort("place.position", "doc_id", "place.turn").select("row.*")
+    rows = numbered(docs)
+    plan = mixing.mix(rows.select("file_path", "row_index", "row.doc_id", "row.source", "row.text"), carry=("file_path", "row_index"))
+    taken = [
+        F.when(2 * F.col("passes")[t]["part"] >= F.col("size"), F.struct(F.col("passes")[t]["position"].alias("position"), F.lit(t).alias("turn")))
+        for t in turns
+    ]
+    copies = plan.filter("size > 0").select("file_path", "row_index", F.explode(F.array_compact(F.array(*taken))).alias("place"))
+    mixed = rows.join(copies, ["file_path", "row_index"])
+    return mixed.sort("place.position", "row.doc_id", "place.turn").select("row.*")
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and whether they decode to its text."""
+    """Token ids of every document, and whether they decode to its text; null and empty texts have no ids. Rows that repeat stay."""
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     encoded = bpe.encode(docs.select("doc_id", "source", "text"), ranks, pattern)
     return encoded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "intact")
