@@ -49,7 +49,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def numbered(docs: DataFrame) -> DataFrame:
     """The columns of the documents as ``row``, and where each row is stored, which names it in every reading."""
-    place = ("_metadata.file_path", "_metadata.row_index")
+    place = (F.xxhash64("_metadata.file_path").alias("file"), "_metadata.row_index")
     try:
         return docs.select(F.struct("*").alias("row"), *place)
     except AnalysisException:
@@ -66,13 +66,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     turns = range(mixing.turns(mixing.MOST_TIMES))
     rows = numbered(docs)
-    plan = mixing.mix(rows.select("file_path", "row_index", "row.doc_id", "row.source", "row.text"), carry=("file_path", "row_index"))
+    plan = mixing.mix(rows.select("file", "row_index", "row.doc_id", "row.source", "row.text"), carry=("file", "row_index"))
     taken = [
         F.when(2 * F.col("passes")[t]["part"] >= F.col("size"), F.struct(F.col("passes")[t]["position"].alias("position"), F.lit(t).alias("turn")))
         for t in turns
     ]
-    copies = plan.filter("size > 0").select("file_path", "row_index", F.explode(F.array_compact(F.array(*taken))).alias("place"))
-    mixed = rows.join(copies, ["file_path", "row_index"])
+    copies = plan.filter("size > 0").select("file", "row_index", F.explode(F.array_compact(F.array(*taken))).alias("place"))
+    mixed = rows.join(copies, ["file", "row_index"])
     return mixed.sort("place.position", "row.doc_id", "place.turn").select("row.*")
 
 
