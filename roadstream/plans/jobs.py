@@ -15,13 +15,15 @@ from pyspark.sql.streaming import StreamingQuery
 from roadstream.functions.text import decode_detections
 from roadstream.operators import counts
 from roadstream.operators.enrich import with_location
+from roadstream.operators.hot import hot_keys
+from roadstream.operators.tracks import VEHICLE, located
 from roadstream.sources.messages import (
     as_messages,
     gates_as_messages,
     read_back_counts,
     read_detection_lines,
 )
-from roadstream.streaming.fines import added_fines, total_fines
+from roadstream.streaming.fines import added_fines, pin_hot_keys, total_fines
 from roadstream.streaming.sinks import count_messages, to_console, to_rows, to_topic
 
 Trigger = dict[str, Any] | None
@@ -61,9 +63,18 @@ def plate_counts_by_gate(
 
 
 def fines_by_nation(
-    messages: DataFrame, checkpoint: str, trigger: Trigger = None, **options: Any
+    messages: DataFrame,
+    checkpoint: str,
+    trigger: Trigger = None,
+    *,
+    history: DataFrame | None = None,
+    **options: Any,
 ) -> StreamingQuery:
-    """Speeding fines per nation to the console; options as for ``added_fines``."""
+    """Speeding fines per nation to the console; options as for ``added_fines``.
+
+    ``history`` holds stored messages in which to find hot vehicles, which then are cut into cells.
+    """
+    options |= _hot(history, VEHICLE, checkpoint)
     result = total_fines(added_fines(decode_detections(messages), **options))
     return to_console(result, "update", checkpoint, trigger)
 
@@ -74,14 +85,24 @@ def tickets_by_plate(
     trigger: Trigger = None,
     *,
     row_writer: Any = None,
+    history: DataFrame | None = None,
     **options: Any,
 ) -> StreamingQuery:
-    """Speeding tickets per plate to a row writer, or to the console."""
+    """Speeding tickets per plate to a row writer, or to the console; ``history`` as for the fines."""
+    options |= _hot(history, ["plate"], checkpoint)
     added = added_fines(decode_detections(messages), ["plate"], **options)
     result = total_fines(added, "plate", "tickets")
     return _to_rows_or_console(result, checkpoint, trigger, row_writer)
 
 
+def _hot(history: DataFrame | None, keys: list[str], checkpoint: str) -> dict[str, DataFrame]:
+    """The hot keys among stored messages, found at the first start and kept beside the checkpoint."""
+    if history is None:
+        return {}
+    found = hot_keys(located(decode_detections(history)), keys)
+    return {"hot": pin_hot_keys(found, f"{checkpoint.rstrip('/')}-hot")}
+
+
 def results(messages: DataFrame, checkpoint: str, trigger: Trigger = None) -> StreamingQuery:
     """The entries of result maps, as they arrive, to the console."""
     return to_console(read_back_counts(messages), "append", checkpoint, trigger)

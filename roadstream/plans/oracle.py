@@ -171,5 +171,6 @@ SELECT d."offset", d.plate, d.gate, c.loc, c.version
 FROM d JOIN events v ON v.event_id = d."offset" JOIN c ON c.gate = d.gate
   AND v.ts BETWEEN c.ts - INTERVAL 1 HOUR AND c.ts + INTERVAL 1 HOUR""",
     "S_track_lookup": f'{_DETECTIONS} SELECT plate, nation, ts, "offset", loc FROM e WHERE loc IS NOT NULL',
+    "S_changes_compacted": f"{_DETECTIONS} SELECT plate, count(*) AS cnt FROM d GROUP BY plate",
     "S_row_files": f"""{_DETECTIONS} SELECT "offset", plate, gate, nation FROM d WHERE nation IS DISTINCT FROM '?'""",
 }

@@ -22,6 +22,7 @@ from roadstream.streaming.sinks import (
     ALL_AVAILABLE,
     EVERY_SECOND,
     PartitionFiles,
+    compact_changes,
     count_messages,
     read_changes,
     read_result,
@@ -278,6 +279,18 @@ def track_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_tracks(spark, f"{folder}/checkpoint", operator=2)
 
 
+def changes_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plate counts in several batches before and after a restart, whose changes are compacted after each run."""
+    folder = work_folder(spark, "compacted")
+    changes = f"{folder}/changes"
+    for half in (0, 1):
+        files = _store_events(spark, sf_dir, f"{folder}/topic", half)
+        result = counts.plate_counts(_stored_detections(spark, f"{folder}/topic", files))
+        to_changes(result, changes, f"{folder}/checkpoint", ALL_AVAILABLE).awaitTermination()
+        compact_changes(spark, changes, result.schema, ["plate"], ["cnt"])
+    return read_changes(spark, changes, result.schema, ["plate"], ["cnt"])
+
+
 def row_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Known detections through the row writer, read back from its files."""
     folder = work_folder(spark, "rows")
@@ -306,4 +319,5 @@ STREAM_QUERIES = {
     "S_two_stream_join": two_stream_join,
     "S_track_lookup": track_lookup,
     "S_row_files": row_files,
+    "S_changes_compacted": changes_compacted,
 }

@@ -23,13 +23,15 @@ _own_folder: list[str] = []
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings every job here relies on to a running session.
 
-    A local session that still has the default of 200 shuffle partitions gets one per thread,
-    as each partition of a stream keeps state stores of its own. A cluster's setting stays.
+    A local session that was started without a number of shuffle partitions gets one per thread
+    in place of the default of 200, as each partition of a stream keeps state stores of its own.
+    A cluster's setting stays.
     """
     for name, value in RUNTIME_SETTINGS.items():
         spark.conf.set(name, value)
     context = spark.sparkContext
-    if context.master.startswith("local") and spark.conf.get(PARTITIONS) == "200":
+    chosen = spark.conf.get(PARTITIONS) != "200" or context.getConf().get(PARTITIONS) == "200"
+    if (context.master == "local" or context.master.startswith("local[")) and not chosen:
         spark.conf.set(PARTITIONS, str(context.defaultParallelism))
     return spark
 

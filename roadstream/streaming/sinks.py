@@ -184,9 +184,52 @@ def read_changes(
     spark: SparkSession, folder: str, schema: StructType, keys: list[str], values: list[str]
 ) -> DataFrame:
     """The current row of each group from a folder of changes to results of that schema."""
+    return latest_per_key(_changes(spark, folder, schema), keys, values, version="batch")
+
+
+def _changes(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
+    """The newest base of a folder of changes and what changed after it, with the ``batch`` of each row."""
     with_batch = StructType([*schema.fields, StructField("batch", LongType())])
     changes = read_table(spark, folder, with_batch)
-    return latest_per_key(changes, keys, values, version="batch")
+    bases = _complete(spark, f"{folder}-bases", "upto")
+    if not bases:
+        return changes
+    base = spark.read.schema(with_batch).parquet(f"{folder}-bases/upto={bases[-1]}")
+    return changes.filter(F.col("batch") > bases[-1]).unionByName(base)
+
+
+def compact_changes(
+    spark: SparkSession, folder: str, schema: StructType, keys: list[str], values: list[str]
+) -> int | None:
+    """Merge the changes stored so far to one row a group; return the last batch that the new base holds.
+
+    A base counts once it is complete, which its marker file says, so a reader sees the base before or the new one and
+    never half of either, and a compaction that was lost is repeated as a whole. What the base before covers is removed
+    only now: readers that began since then still find their files. A stream that repeats a batch after a restart
+    stores it again below the base, where nobody reads it. The folder so keeps two rows a group and the batches since
+    the last compaction but one.
+    """
+    batches = _complete(spark, folder, "batch")
+    bases = _complete(spark, f"{folder}-bases", "upto")
+    if not batches or (bases and batches[-1] <= bases[-1]):
+        return bases[-1] if bases else None
+    upto = batches[-1]
+    rows = _changes(spark, folder, schema).filter(F.col("batch") <= upto).groupBy(*keys)
+    newest = rows.agg(*[F.max_by(v, "batch").alias(v) for v in values], F.max("batch").alias("batch"))
+    newest.write.mode("overwrite").parquet(f"{folder}-bases/upto={upto}")
+    if bases:
+        covered = [f"{folder}/batch={n}" for n in batches if n <= bases[-1]]
+        for path in [*covered, *[f"{folder}-bases/upto={n}" for n in bases[:-1]]]:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return upto
+
+
+def _complete(spark: SparkSession, folder: str, name: str) -> list[int]:
+    """The numbers of the parts ``name=number`` of a folder that were written to their end, ascending."""
+    marks = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}=*/_SUCCESS")
+    found = marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks) or []
+    return sorted(int(mark.getPath().getParent().getName().split("=")[1]) for mark in found)
 
 
 def to_files(

@@ -97,6 +97,18 @@ def test_row_writers(messages, checkpoint, tmp_path):
     assert written(tmp_path / "tickets") == ["A,1"]
 
 
+def test_hot_vehicles_are_found_in_the_history(spark, messages, checkpoint, store, tmp_path):
+    (tmp_path / "hot").mkdir()
+    history = read_messages(spark, streaming=False, format="parquet", path=store)
+    writer = Lines(str(tmp_path / "hot"))
+    jobs.tickets_by_plate(
+        messages, checkpoint, ALL_AVAILABLE, row_writer=writer, history=history
+    ).awaitTermination()
+    assert written(tmp_path / "hot") == ["A,1"]
+    # None has millions of detections; the table of them is kept for later starts all the same.
+    assert spark.read.parquet(f"{checkpoint}-hot").columns == ["plate", "crowded_slots"]
+
+
 @pytest.mark.parametrize(
     "job", [jobs.nation_counts, jobs.plate_counts_by_gate, jobs.fines_by_nation]
 )

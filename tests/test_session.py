@@ -32,6 +32,16 @@ def test_partitions(master, before, after):
     assert RUNTIME_SETTINGS.items() <= settings.items()
 
 
+def test_a_chosen_number_of_partitions_stays():
+    spark, settings = fake("local[8]", **{PARTITIONS: "200"})
+    spark.sparkContext.getConf.return_value.get = {PARTITIONS: "200"}.get
+    configure(spark)
+    assert settings[PARTITIONS] == "200"
+    spark, settings = fake("local-cluster[2,1,1024]", **{PARTITIONS: "200"})
+    configure(spark)
+    assert settings[PARTITIONS] == "200"
+
+
 def test_work_folder():
     spark, _ = fake("yarn", **{"spark.checkpoint.dir": "hdfs://shared/x/"})
     assert work_folder(spark, "job").startswith("hdfs://shared/x/job-")

@@ -29,6 +29,7 @@ from roadstream.streaming.joins import joined_within, with_changing_location
 from roadstream.streaming.sinks import (
     ALL_AVAILABLE,
     PartitionFiles,
+    compact_changes,
     count_messages,
     read_changes,
     read_result,
@@ -476,3 +477,33 @@ def test_a_failing_stream_raises(topic, tmp_path):
     broken = topic.detections().select(F.raise_error(F.lit("broken")).cast("string").alias("x"))
     with pytest.raises(StreamingQueryException, match="broken"):
         run_updates(broken, ["x"], [], str(tmp_path / "job"))
+
+
+def test_compacted_changes_stay_bounded_and_whole(spark, topic, tmp_path):
+    """Runs with a compaction after each; one is lost half-way, and the last batch of a run is repeated."""
+    folder, checkpoint = str(tmp_path / "changes"), str(tmp_path / "cp")
+    rows, stored = [], []
+    for run in range(4):
+        fresh = [(f"P{i % 5}", 1, 60 * i, "it") for i in range(7 * run, 7 * run + 6)]
+        rows += fresh
+        topic.add(fresh, files=3)
+        result = counts.plate_counts(topic.detections())
+        to_changes(result, folder, checkpoint, ALL_AVAILABLE).awaitTermination()
+        if run == 2:
+            # A base that was not finished, and one file of it.
+            lost = tmp_path / "changes-bases" / "upto=8"
+            spark.createDataFrame([("P0", 999, 8)], "plate string, cnt long, batch long").write.parquet(str(lost))
+            (lost / "_SUCCESS").unlink()
+        before = sorted_rows(read_changes(spark, folder, result.schema, ["plate"], ["cnt"]))
+        assert compact_changes(spark, folder, result.schema, ["plate"], ["cnt"]) == 3 * run + 2
+        assert compact_changes(spark, folder, result.schema, ["plate"], ["cnt"]) == 3 * run + 2
+        assert sorted_rows(read_changes(spark, folder, result.schema, ["plate"], ["cnt"])) == before
+        assert before == sorted((sum(r[0] == p for r in rows), p) for p in {r[0] for r in rows})
+        stored.append((len(list((tmp_path / "changes").glob("batch=*"))), len(list((tmp_path / "changes-bases").glob("upto=*")))))
+    assert stored == [(3, 1), (3, 2), (3, 2), (3, 2)]
+
+
+def test_nothing_to_compact(spark, tmp_path):
+    schema = counts.plate_counts(spark.createDataFrame([], "plate string")).schema
+    assert compact_changes(spark, str(tmp_path / "none"), schema, ["plate"], ["cnt"]) is None
+    assert read_changes(spark, str(tmp_path / "none"), schema, ["plate"], ["cnt"]).isEmpty()
