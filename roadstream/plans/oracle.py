@@ -162,6 +162,8 @@ SELECT gate, loc, count(*) AS cnt FROM e WHERE loc IS NOT NULL GROUP BY gate, lo
     "S_topic_upserts": _COUNT_MAPS,
     "S_state_lookup": _KNOWN_NATION_COUNTS,
     "S_every_second": _NATION_COUNTS,
+    # A gate that has no more messages fires its last count again each second.
+    "S_every_second_again": f"{_DETECTIONS} SELECT gate, count(*) AS cnt, true AS again FROM d GROUP BY gate",
     "S_fines_late": _LATE_FINES,
     # A message sees the newest change that has a lower offset.
     "S_changing_gates": f"""{_CHANGES}

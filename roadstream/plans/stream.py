@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from roadstream.sources.events import event_detections, event_gate_changes, even
 from roadstream.sources.messages import decode_gate_changes, read_back_counts, read_messages
 from roadstream.streaming.fines import added_fines, pin_hot_keys, stored_tracks, total_fines
 from roadstream.streaming.joins import joined_within, with_changing_location
+from roadstream.streaming.periodic import periodic_counts
 from roadstream.streaming.sinks import (
     ALL_AVAILABLE,
     EVERY_SECOND,
@@ -279,6 +281,30 @@ def track_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_tracks(spark, f"{folder}/checkpoint", operator=2)
 
 
+def firings(result: DataFrame, folder: str, idle_batches: int = 6) -> DataFrame:
+    """Run a stream of firings over what is there, and on until so many batches in a row had no input."""
+    query = to_files(result, f"{folder}/rows", f"{folder}/checkpoint", EVERY_SECOND)
+    seen, idle = -1, 0
+    while idle < idle_batches and query.isActive:
+        progress = query.lastProgress
+        if progress is not None and progress["batchId"] > seen:
+            seen = progress["batchId"]
+            idle = 0 if progress["numInputRows"] else idle + 1
+        time.sleep(0.1)
+    query.stop()
+    query.awaitTermination()
+    return read_table(result.sparkSession, f"{folder}/rows", result.schema)
+
+
+def every_second_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts by gate that fire each second; the last count of each gate, and whether it fired again unchanged."""
+    folder = work_folder(spark, "firings")
+    fired = firings(periodic_counts(event_detections(spark, sf_dir, streaming=True)), folder)
+    by_count = fired.groupBy("gate", "cnt").agg(F.count("*").alias("times"))
+    newest = by_count.groupBy("gate").agg(F.max("cnt").alias("cnt"), F.max_by("times", "cnt").alias("times"))
+    return newest.select("gate", "cnt", (F.col("times") > 1).alias("again"))
+
+
 def changes_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plate counts in several batches before and after a restart, whose changes are compacted after each run."""
     folder = work_folder(spark, "compacted")
@@ -314,6 +340,7 @@ STREAM_QUERIES = {
     "S_topic_upserts": topic_upserts,
     "S_state_lookup": state_lookup,
     "S_every_second": every_second,
+    "S_every_second_again": every_second_again,
     "S_fines_late": fines_late,
     "S_changing_gates": changing_gates,
     "S_two_stream_join": two_stream_join,

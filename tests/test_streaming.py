@@ -16,7 +16,7 @@ from roadstream.operators.enrich import with_location
 from roadstream.operators.hot import Split, hot_keys
 from roadstream.operators.latest import latest_per_key
 from roadstream.operators.tracks import VEHICLE
-from roadstream.plans.stream import run_appends, run_complete, run_updates
+from roadstream.plans.stream import firings, run_appends, run_complete, run_updates
 from roadstream.sources.messages import read_back_counts, read_messages
 from roadstream.streaming.fines import (
     added_fines,
@@ -26,6 +26,7 @@ from roadstream.streaming.fines import (
     total_fines,
 )
 from roadstream.streaming.joins import joined_within, with_changing_location
+from roadstream.streaming.periodic import periodic_counts
 from roadstream.streaming.sinks import (
     ALL_AVAILABLE,
     PartitionFiles,
@@ -507,3 +508,18 @@ def test_nothing_to_compact(spark, tmp_path):
     schema = counts.plate_counts(spark.createDataFrame([], "plate string")).schema
     assert compact_changes(spark, str(tmp_path / "none"), schema, ["plate"], ["cnt"]) is None
     assert read_changes(spark, str(tmp_path / "none"), schema, ["plate"], ["cnt"]).isEmpty()
+
+
+def test_counts_fire_again_without_input(topic, tmp_path):
+    """Each key fires about once a second from its first row on, with counts that never fall, also after a restart."""
+    topic.add([("A", 1, 0, "it"), ("B", 1, 0, "it"), ("C", 2, 0, "it")])
+    folder = str(tmp_path / "job")
+    firings(periodic_counts(topic.detections()), folder, idle_batches=4)
+    topic.add([("A", 2, 60, "it")])
+    fired = firings(periodic_counts(topic.detections()), folder, idle_batches=4)
+    rows = sorted((r.gate, r.fired_ms, r.cnt) for r in fired.collect())
+    counted = {gate: [cnt for g, _, cnt in rows if g == gate] for gate in (1, 2)}
+    assert set(counted[1]) == {2} and len(counted[1]) >= 4
+    assert set(counted[2]) == {1, 2} and counted[2] == sorted(counted[2]) and counted[2].count(2) >= 2
+    times = [ms for g, ms, _ in rows if g == 1]
+    assert min(b - a for a, b in zip(times, times[1:])) >= 1000
