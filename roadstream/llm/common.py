@@ -36,11 +36,11 @@ def new_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/llm-{purpose}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def written(df: DataFrame, purpose: str, codec: str | None = None) -> DataFrame:
     """Write the rows to the shared folder and read them again: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = new_path(spark, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -329,3 +329,74 @@ def test_more_rows_a_batch_than_a_shingle_holds(spark):
     assert [p.num_rows for p in parts] == [16384, 3616]
     for part in parts:
         assert set(np.diff(common.shingles_of(part.column(0), 2)[1])) == {2}
+
+
+def test_scores_follow_the_recursive_definition(spark):
+    """Context-tree weighting as defined, decision by decision, on a corpus of some hundred bytes."""
+    texts = ["abracadabra", "abra cab", "", "cadabra abracad", "é", "abracadabra"]
+    training = [t.encode() for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 7 != 2]
+    positions = []
+    for t in training:
+        padded = bytes(context_tree.DEPTH) + t + b"\0"
+        positions += [(padded[at - context_tree.DEPTH : at][::-1], padded[at]) for at in range(context_tree.DEPTH, len(padded))]
+
+    def seen(context):
+        return [b for c, b in positions if c.startswith(context)]
+
+    def children(context):
+        longer = {c[: len(context) + 1] for c, _ in positions if c.startswith(context)}
+        return [c for c in longer if len(seen(c)) >= 2]
+
+    def counted(some, bits):
+        under = [b for b in some if format(b, "08b").startswith(bits)]
+        ones = sum(format(b, "08b")[len(bits)] == "1" for b in under)
+        return len(under) - ones, ones
+
+    def kt(zeros, ones):
+        return math.lgamma(zeros + 0.5) + math.lgamma(ones + 0.5) - math.lgamma(zeros + ones + 1) - math.log(math.pi)
+
+    def left(context, bits):
+        zeros, ones = counted(seen(context), bits)
+        below = [counted(seen(c), bits) for c in children(context)]
+        return zeros - sum(z for z, _ in below), ones - sum(o for _, o in below)
+
+    def lower(context, bits):
+        return sum(weighted(c, bits) for c in children(context)) + kt(*left(context, bits))
+
+    def weighted(context, bits):
+        own = kt(*counted(seen(context), bits))
+        return own if len(context) == context_tree.DEPTH else math.log(0.5) + np.logaddexp(own, lower(context, bits))
+
+    def chance(context, history, bits):
+        zeros, ones = counted(seen(context), bits)
+        own = (ones + 0.5) / (zeros + ones + 1)
+        if len(context) == context_tree.DEPTH:
+            return own
+        share = 1 / (1 + math.exp(lower(context, bits) - kt(zeros, ones)))
+        longer = history[: len(context) + 1]
+        if longer in children(context):
+            return share * own + (1 - share) * chance(longer, history, bits)
+        zeros, ones = left(context, bits)
+        return share * own + (1 - share) * (ones + 0.5) / (zeros + ones + 1)
+
+    def expected(text):
+        padded, total = bytes(context_tree.DEPTH) + text.encode() + b"\0", 0.0
+        for at in range(context_tree.DEPTH, len(padded)):
+            bits = format(padded[at], "08b")
+            for k, bit in enumerate(bits):
+                one = chance(b"", padded[at - context_tree.DEPTH : at][::-1], bits[:k])
+                total += math.log10(one if bit == "1" else 1 - one)
+        return total
+
+    got = {r["doc_id"]: r["score"] for r in context_tree.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == pytest.approx({i: expected(t) for i, t in enumerate(texts)}, rel=1e-4, abs=1e-4)
+
+
+def test_many_slices_are_merged_in_steps(spark, monkeypatch):
+    """Buckets merge a few slices at a time and hand their values to several groups of slices; the scores stay the same."""
+    rng = random.Random(12)
+    docs = spark.createDataFrame([(i, prose(rng, rng.randint(0, 30))) for i in range(400)], "doc_id long, text string")
+    whole = {r["doc_id"]: r["score"] for r in context_tree.score(docs).collect()}
+    for name, value in {"SLICE_BYTES": 900, "GRAMS_A_BUCKET": 4000, "MERGED": 3, "ASKED": 200, "BROADCAST_BUCKETS": 2}.items():
+        monkeypatch.setattr(context_tree, name, value)
+    assert {r["doc_id"]: r["score"] for r in context_tree.score(docs).collect()} == pytest.approx(whole, rel=1e-5)
