@@ -37,7 +37,7 @@ def shingles(text, width):
     return {tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set()
 
 
-def brute_components(rows, width):
+def brute_components(rows, width, percent=80):
     sets = [shingles(t, width) for _, t in rows]
     parent = list(range(len(rows)))
 
@@ -48,7 +48,7 @@ def brute_components(rows, width):
 
     for i in range(len(rows)):
         for j in range(i):
-            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
                 parent[root(i)] = root(j)
     least = {}
     for i, (d, _) in enumerate(rows):
@@ -64,9 +64,10 @@ def test_near_duplicates_equal_brute_force(spark, edge_docs, edge_rows, width):
     assert got == brute_components([r[:2] for r in edge_rows], width)
 
 
-def test_near_copies_of_many_kinds(spark, monkeypatch):
+@pytest.mark.parametrize("percent", [70, 80])
+def test_near_copies_of_many_kinds(spark, monkeypatch, percent):
     """Chains of edits, with leaves and blocks so small that every way of comparing is taken."""
-    for name, value in {"BLOCK": 8, "MAIN_BLOCK": 16, "LARGE": 4, "MEMBERS_A_BLOCK": 8, "ROWS_A_BUCKET": 64}.items():
+    for name, value in {"BLOCK": 8, "MAIN_BLOCK": 16, "ODD_BLOCK": 4, "NUMBERS": 200, "LARGE": 4, "MEMBERS_A_BLOCK": 8, "ROWS_A_BUCKET": 64}.items():
         monkeypatch.setattr(minhash, name, value)
     rng = random.Random(7)
     rows = []
@@ -80,8 +81,71 @@ def test_near_copies_of_many_kinds(spark, monkeypatch):
             if rng.random() < 0.6:
                 text = copy
             rows.append((len(rows), " ".join(copy)))
-    got = sorted((tuple(r) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()), key=str)
-    assert got == brute_components(rows, 2)
+    got = sorted((tuple(r) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2, percent).collect()), key=str)
+    assert got == brute_components(rows, 2, percent)
+
+
+def test_a_crowded_leaf_is_dealt_to_blocks_that_all_meet(spark, monkeypatch):
+    """Every odd row meets every other row of its leaf, and no block holds more than its share."""
+    monkeypatch.setattr(minhash, "ODD_BLOCK", 10)
+    monkeypatch.setattr(minhash, "MAIN_BLOCK", 20)
+    for main, others in ((90, 70), (90, 5), (15, 40), (1, 30)):
+        rows = [(1, k, 5, b"", 0 if k < main else k, 1, 0, main + others, others) for k in range(main + others)]
+        table = spark.createDataFrame(rows, "leaf long, key long, size long, sketch binary, component long, weight long, main long, n long, others long")
+        blocks = {}
+        for r in minhash.dealt(table).collect():
+            blocks.setdefault(r["block"], []).append((r["key"], r["odd"]))
+        met = {frozenset((a, b)) for rows in blocks.values() for a, odd in rows for b, _ in rows if odd and a != b}
+        assert met == {frozenset((a, b)) for a in range(main, main + others) for b in range(main + others) if a != b}
+        assert max(len(rows) for rows in blocks.values()) < 3 * (10 + 20)
+
+
+def test_texts_of_one_template_part_below_a_crowded_leaf():
+    """Eight of fourteen shingles in common: no links, but most texts choose the same tokens at first."""
+    rng = np.random.default_rng(5)
+    shared = rng.integers(0, 1 << 50, 8, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([shared, rng.integers(0, 1 << 50, 6, dtype=np.uint64)])) for _ in range(4000)]
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    leaves = minhash.leaves_of(np.concatenate(sets), offsets, minhash.trees_for(80))
+    names, counts = np.unique(leaves, return_counts=True)
+    crowded = names[counts.argmax()]
+    assert counts.max() > 2000
+    live = [(crowded, x) for x, own in zip(sets, leaves) if crowded in own]
+    widest = [len(live)]
+    # As ``remaining`` does, only crowded leaves go on.
+    for _ in range(minhash.DEEPER):
+        below = {}
+        for leaf, x in live:
+            for name in minhash.deeper_leaves(np.array([leaf]), x, minhash.ways_for(80)).ravel().tolist():
+                below.setdefault(name, []).append(x)
+        widest.append(max(map(len, below.values())))
+        live = [(np.uint64(name), x) for name, inside in below.items() if len(inside) > minhash.BLOCK for x in inside]
+        if not live:
+            break
+    assert widest[1] < widest[0] / 3
+    assert widest[-1] <= minhash.BLOCK
+
+
+@pytest.mark.parametrize(("percent", "union"), [(80, 50), (80, 1000), (70, 200)])
+def test_pairs_at_the_threshold_meet(percent, union):
+    """They share a leaf and pass the sketch; below a crowded leaf they still share one of the paths nearly always."""
+    rng = np.random.default_rng(percent + union)
+    common, left = union * percent // 100, union * (100 - percent) // 200
+    pairs = 600
+    met = passed = deeper = 0
+    least, _ = minhash.sketch_bounds(percent)
+    for _ in range(pairs):
+        tokens = rng.integers(0, 1 << 50, union, dtype=np.uint64)
+        x, y = np.sort(tokens[: common + left]), np.sort(np.delete(tokens, slice(common, common + left)))
+        both, ends = np.concatenate([x, y]), np.array([0, len(x), len(x) + len(y)])
+        a, b = minhash.leaves_of(both, ends, minhash.trees_for(percent))
+        met += len(np.intersect1d(a, b)) > 0
+        p, q = minhash.sketches_of(both, ends)
+        passed += ((p == q) & (p != 0)).sum() >= least * ((p | q) != 0).sum()
+        top = np.array([7])
+        deeper += len(np.intersect1d(minhash.deeper_leaves(top, x, minhash.ways_for(percent)), minhash.deeper_leaves(top, y, minhash.ways_for(percent)))) > 0
+    assert (met, passed) == (pairs, pairs)
+    assert deeper >= 0.96 * pairs
 
 
 def test_no_documents(spark, no_docs, tmp_path):
