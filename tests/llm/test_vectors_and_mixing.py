@@ -30,9 +30,10 @@ def usable(v, zero):
     return v is not None and all(x is not None and math.isfinite(x) for x in v) and (zero or any(v))
 
 
-@pytest.mark.parametrize("block", [7, 8192])
-def test_top_k_equals_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "first"), [(7, 20), (8192, 2048)])
+def test_top_k_equals_brute_force(spark, monkeypatch, block, first):
     monkeypatch.setattr(topk, "CANDIDATES_A_BLOCK", block)
+    monkeypatch.setattr(topk, "FIRST", first)
     rows = edge_vectors()
     got = [tuple(r) for r in topk.top_k(spark.createDataFrame(rows, VECTOR), F.col("vec_id") % 50 == 0).collect()]
     cut = sorted({(i, tuple(math.floor(256 * float(np.float32(x))) for x in v)) for i, v, *_ in rows if i is not None and usable(v, True)})
@@ -52,6 +53,21 @@ def test_segment_bounds_hold():
         assert (topk.bounds(q, x, segments) >= q @ x.T - 1e-6).all()
 
 
+def test_bounds_leave_out_most_rows_where_vectors_have_structure():
+    """Vectors near few directions, turned at random: a small share reaches the level of all components, and the results are the exhaustive ones."""
+    rng = np.random.default_rng(2)
+    turn = np.linalg.qr(rng.standard_normal((64, 64)))[0]
+    x = np.floor(256 * (rng.standard_normal((3000, 64)) * 0.7 ** np.arange(64)) @ turn).astype(np.int64)
+    ids, asked, read = np.arange(3000), np.arange(0, 3000, 50), []
+    got = topk.best_of_block(asked, x[asked], np.full(len(asked), -np.inf), ids, x, 5, read)
+    expected = []
+    for q in asked:
+        score = x @ x[q]
+        expected += [(q, i, score[i]) for i in [i for i in np.lexsort((ids, -score)) if i != q][:5]]
+    assert [tuple(r) for r in got.to_numpy()] == expected
+    assert sum(read) < 0.05 * len(asked) * len(ids)
+
+
 def brute_links(rows):
     unit = [np.array(np.float32(v), float) / np.linalg.norm(np.float32(v).astype(float)) if usable(v, False) and len(v) else None for _, v, *_ in rows]
     near = [[a is not None and b is not None and i != j and len(a) == len(b) and a @ b >= 0.9 for j, b in enumerate(unit)] for i, a in enumerate(unit)]
