@@ -523,3 +523,16 @@ def test_counts_fire_again_without_input(topic, tmp_path):
     assert set(counted[2]) == {1, 2} and counted[2] == sorted(counted[2]) and counted[2].count(2) >= 2
     times = [ms for g, ms, _ in rows if g == 1]
     assert min(b - a for a, b in zip(times, times[1:])) >= 1000
+
+
+def test_two_streams_meet_by_their_time_span(spark, topic, tmp_path):
+    """Rows are matched within spans of the window's length, so a pair across a span's border is found, once."""
+    seconds = [3599, 3600, 3601, 7199, 7200, 10800, 14400]
+    topic.add([("A", 1, s, "it") for s in seconds])
+    changes = gate_changes(spark, tmp_path / "gates", [[(1, 1.0, 1, 7200), (1, 2.0, 2, 3600)]])
+    joined = joined_within(topic.detections(), changes, within="1 hour", parts=2)
+    plan = joined._jdf.queryExecution().analyzed().toString()
+    assert "changed_span" in plan and "span" in plan
+    found = [tuple(r) for r in run_appends(joined.select("ts", "version"), str(tmp_path / "job")).collect()]
+    changed = {1: 7200, 2: 3600}
+    assert sorted(found) == sorted((s, v) for s in seconds for v, at in changed.items() if abs(s - at) <= 3600)
