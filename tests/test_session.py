@@ -9,7 +9,7 @@ from pathlib import Path
 
 import pytest
 
-from roadstream.session import PARTITIONS, RUNTIME_SETTINGS, configure, work_folder
+from roadstream.session import FILE_MANAGER, LOCAL_FILE_MANAGER, PARTITIONS, RUNTIME_SETTINGS, configure, work_folder
 
 
 def fake(master, **settings):
@@ -42,6 +42,25 @@ def test_a_chosen_number_of_partitions_stays():
     assert settings[PARTITIONS] == "200"
 
 
+@pytest.mark.parametrize(
+    ("folder", "default", "chosen", "after"),
+    [
+        ("/tmp/x", "file:///", None, LOCAL_FILE_MANAGER),
+        ("file:///tmp/x", "file:///", None, LOCAL_FILE_MANAGER),
+        (None, "file:///", None, LOCAL_FILE_MANAGER),
+        ("/shared/x", "hdfs://a", None, None),
+        ("hdfs://a/x", "file:///", None, None),
+        ("/tmp/x", "file:///", "mine", "mine"),
+    ],
+)
+def test_checkpoints_on_a_local_disk_need_no_processes(folder, default, chosen, after):
+    given = {"spark.checkpoint.dir": folder, FILE_MANAGER: chosen}
+    spark, settings = fake("yarn", **{PARTITIONS: "8"}, **{k: v for k, v in given.items() if v})
+    spark.sparkContext._jsc.hadoopConfiguration.return_value.get.return_value = default
+    configure(spark)
+    assert settings.get(FILE_MANAGER) == after
+
+
 def test_work_folder():
     spark, _ = fake("yarn", **{"spark.checkpoint.dir": "hdfs://shared/x/"})
     assert work_folder(spark, "job").startswith("hdfs://shared/x/job-")

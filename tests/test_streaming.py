@@ -16,7 +16,9 @@ from roadstream.operators.enrich import with_location
 from roadstream.operators.hot import Split, hot_keys
 from roadstream.operators.latest import latest_per_key
 from roadstream.operators.tracks import VEHICLE
+from roadstream.plans import stream
 from roadstream.plans.stream import firings, run_appends, run_complete, run_updates
+from roadstream.session import PARTITIONS
 from roadstream.sources.messages import read_back_counts, read_messages
 from roadstream.streaming.fines import (
     added_fines,
@@ -536,3 +538,56 @@ def test_two_streams_meet_by_their_time_span(spark, topic, tmp_path):
     found = [tuple(r) for r in run_appends(joined.select("ts", "version"), str(tmp_path / "job")).collect()]
     changed = {1: 7200, 2: 3600}
     assert sorted(found) == sorted((s, v) for s in seconds for v, at in changed.items() if abs(s - at) <= 3600)
+
+
+def test_a_replay_reads_its_input_as_often_for_any_number_of_files(spark, tmp_path, monkeypatch):
+    """Files hold the messages of their range, late ones included, in the order in which they are read."""
+    monkeypatch.setattr(stream, "REPLAYED_MESSAGES", 10)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(0, 200, numPartitions=2).selectExpr("id AS offset", "id * 3 AS value")
+    rows = rows.mapInArrow(counted, "offset bigint, value bigint")
+    path = tmp_path / "topic"
+    stream._replay_in_order(rows, str(path), "CASE offset % 7 WHEN 3 THEN 2 WHEN 5 THEN 1 ELSE 0 END")
+    files = sorted(path.glob("*.parquet"), key=lambda f: f.stat().st_mtime_ns)
+    late = {3: 2, 5: 1}
+    wanted = [[o for o in range(200) if min(19, o // 10 + late.get(o % 7, 0)) == file] for file in range(20)]
+    assert [sorted(r.offset for r in spark.read.parquet(str(f)).collect()) for f in files] == wanted
+    assert read.value <= 3 * 200
+    assert [p.name for p in tmp_path.iterdir()] == ["topic"]
+
+
+def test_a_replay_keeps_ranges_without_messages_as_empty_files(spark, tmp_path):
+    path = tmp_path / "topic"
+    stream._replay_in_order(spark.createDataFrame([(0,), (0,), (99,)], "offset bigint"), str(path))
+    files = sorted(path.glob("*.parquet"), key=lambda f: f.stat().st_mtime_ns)
+    assert [spark.read.schema("offset bigint").parquet(str(f)).count() for f in files] == [2, 0, 0, 0, 0, 1]
+
+
+def test_queries_keep_their_state_in_few_partitions(spark, topic, tmp_path):
+    """Every batch opens the state of all partitions, so a number meant for large shuffles is not taken for it."""
+    topic.add([("A", 1, 0, "it")])
+    before = spark.conf.get(PARTITIONS)
+    most = max(stream.LEAST_STATES, stream.STATES_A_THREAD * spark.sparkContext.defaultParallelism)
+    spark.conf.set(PARTITIONS, str(most + 8))
+    try:
+        result = run_complete(counts.nation_counts(topic.detections()), str(tmp_path / "job"))
+        assert spark.conf.get(PARTITIONS) == str(most + 8)
+    finally:
+        spark.conf.set(PARTITIONS, before)
+    assert [tuple(r) for r in result.collect()] == [("it", 1)]
+    assert len(list((tmp_path / "job/checkpoint/state/0").glob("[0-9]*"))) == most
+
+
+def test_a_change_has_few_copies_in_the_state(spark, topic, tmp_path):
+    topic.add([("A", 1, 7200, "it")])
+    changes = gate_changes(spark, tmp_path / "gates", [[(1, 1.0, 1, 7200)]])
+    folder = str(tmp_path / "job")
+    assert run_appends(joined_within(topic.detections(), changes).select("ts", "version"), folder).count() == 1
+    right = spark.read.format("statestore").option("joinSide", "right").load(f"{folder}/checkpoint")
+    assert right.count() <= 12
