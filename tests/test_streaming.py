@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import datetime
 import random
 import sys
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark import cloudpickle
@@ -17,6 +19,7 @@ from roadstream.operators.hot import Split, hot_keys
 from roadstream.operators.latest import latest_per_key
 from roadstream.operators.tracks import VEHICLE
 from roadstream.plans import stream
+from roadstream.plans.oracle import ORACLE_SQL
 from roadstream.plans.stream import firings, run_appends, run_complete, run_updates
 from roadstream.session import PARTITIONS
 from roadstream.sources.messages import read_back_counts, read_messages
@@ -591,3 +594,25 @@ def test_a_change_has_few_copies_in_the_state(spark, topic, tmp_path):
     assert run_appends(joined_within(topic.detections(), changes).select("ts", "version"), folder).count() == 1
     right = spark.read.format("statestore").option("joinSide", "right").load(f"{folder}/checkpoint")
     assert right.count() <= 12
+
+
+def test_late_fines_keep_their_state_in_few_partitions(spark, tmp_path, monkeypatch):
+    """Each of the three stateful steps does, and the fines are those of the SQL, which knows what comes too late."""
+    start = datetime.datetime(2024, 1, 1)
+    events = [(i, start + datetime.timedelta(minutes=2 * i), i % 5, ["it", "error"][i % 2], 0.0, "") for i in range(240)]
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(events, schema).coalesce(1).write.parquet(str(tmp_path / "sf/events.parquet"))
+    with duckdb.connect() as connection:
+        connection.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/sf/events.parquet/*.parquet'")
+        wanted = connection.execute(ORACLE_SQL["S_fines_late"]).fetchall()
+    monkeypatch.setattr(stream, "work_folder", lambda *_: str(tmp_path / "job"))
+    most = max(stream.LEAST_STATES, stream.STATES_A_THREAD * spark.sparkContext.defaultParallelism)
+    before = spark.conf.get(PARTITIONS)
+    spark.conf.set(PARTITIONS, str(most + 8))
+    try:
+        found = stream.fines_late(spark, str(tmp_path / "sf")).collect()
+    finally:
+        spark.conf.set(PARTITIONS, before)
+    assert wanted and sorted(map(tuple, found)) == sorted(wanted)
+    steps = tmp_path / "job/checkpoint/state"
+    assert [len(list((steps / str(n)).glob("[0-9]*"))) for n in range(3)] == [most] * 3
